@@ -207,6 +207,12 @@ def _priced(df: DataFrame, t: Tables, frm: str, amounts: list[str]) -> DataFrame
     return m.convert(df, t["fx_history"], amounts, home=frm, charged="CurrencyCode", on="BookingDate", mode="div_one", suffix="C")
 
 
+def _seats(rows: DataFrame) -> DataFrame:
+    """One row per passenger and segment, fares of its legs added up."""
+    keys = [c for c in rows.columns if c not in ("NetFare", "NetFareC")]
+    return rows.groupBy(*keys).agg(F.sum("NetFareC").alias("NetFareC"))
+
+
 def older_channel_daily(t: Tables, now: datetime, window: Window | None = None) -> DataFrame:
     """Seats and fare by booking day, route, lead, role, channel and class."""
     window = window or windows.yesterday(windows.to_local(now, windows.MALAYSIA))
@@ -218,7 +224,7 @@ def older_channel_daily(t: Tables, now: datetime, window: Window | None = None)
         ["DepartureStation", "ArrivalStation", "DepartureDate", "JourneyNumber", "CarrierCode", "FareClassOfService"],
     ).withColumn("BookingDate", tf.day("BookedAt"))
     rows = rows.join(_base_fare(t), ["PassengerID", "SegmentID"], "left")
-    rows = _priced(rows, t, "MYR", ["NetFare"])
+    rows = _seats(_priced(rows, t, "MYR", ["NetFare"]))
     pairs = t["city_pair"].select(
         "DepartureStation", "ArrivalStation", labels.dom_int("InternationalFlag", "International", "Domestic").alias("DomInt")
     )
@@ -252,7 +258,7 @@ def older_channel_monthly(t: Tables, as_of: datetime, window: Window | None = No
     rows = _booked_segments(
         t, window, segments, ["DepartureStation", "ArrivalStation", "DepartureDate", "JourneyNumber", "CarrierCode"]
     ).withColumn("BookingDate", tf.day("BookedAt"))
-    rows = _priced(rows.join(_base_fare(t, None), ["PassengerID", "SegmentID"], "left"), t, "MYR", ["NetFare"])
+    rows = _seats(_priced(rows.join(_base_fare(t, None), ["PassengerID", "SegmentID"], "left"), t, "MYR", ["NetFare"]))
     markets = t["market_group"].select("DepartureStation", "ArrivalStation", "MarketGroup")
     rows = rows.join(markets, ["DepartureStation", "ArrivalStation"], "left")
     rows = ch.sales_channel(ch.with_agent(rows, t), t, existing_only=True, by_channel=True)
@@ -341,7 +347,7 @@ def china_market(t: Tables, as_of: datetime, now: datetime, window: Window | Non
     window = window or windows.five_months_back(as_of)
     segments = _segments_of_known_carriers(t, mapped=False)
     rows = _booked_segments(
-        t, window, segments, ["DepartureStation", "ArrivalStation", "DepartureDate", "CarrierCode"]
+        t, window, segments, ["DepartureStation", "ArrivalStation", "DepartureDate", "JourneyNumber", "CarrierCode"]
     ).where(F.col("Nationality").isin(list(fixed.CHINA_NATIONALITIES)))
     rows = rows.withColumn("BookingDate", tf.day("BookedAt")).withColumn("Age", F.lit(now.year) - F.year("DOB"))
     rows = px.with_contact(rows, t)
@@ -351,8 +357,9 @@ def china_market(t: Tables, as_of: datetime, now: datetime, window: Window | Non
     rows = ch.sales_channel(rows, t, split_location=False, existing_only=True, unknown="UnknownRoleCode")
     rows = px.with_country(rows, t["country"], "Nationality", "NationalityName")
     rows = _priced(rows.join(_base_fare(t), ["PassengerID", "SegmentID"], "left"), t, "CNY", ["NetFare"])
+    seat = ["PassengerID", "SegmentID", "RecordLocator", "BookingDate", "DepartureDate", "JourneyNumber", "CreatedAgentID", "CurrencyCode"]
     rows = rows.select(
-        "PassengerID", "SegmentID", "RecordLocator", "NetFareC",
+        *seat, "NetFareC",
         tf.month_name("BookedAt").alias("BookingMonth"), F.year("BookedAt").alias("BookingYear"), "DepartureStation", "ArrivalStation",
         sector("DepartureStation", "ArrivalStation").alias("Route"), "CarrierCode", labels.gender("Gender").alias("Gender"),
         F.col("NationalityName").alias("Nationality"), "ProvinceState", "City", "EmailAddress", "FirstName", "LastName",
@@ -360,9 +367,8 @@ def china_market(t: Tables, as_of: datetime, now: datetime, window: Window | Non
         bands.lead_bucket("BookingDate", "DepartureDate", "coarse").alias("PurchaseLeadDays"), "SalesChannel",
     )
     # A segment reached through two contacts or roles with the same labels is one seat.
-    keys = [c for c in rows.columns if c not in ("PassengerID", "SegmentID", "RecordLocator", "NetFareC")]
-    seats = rows.groupBy("PassengerID", "SegmentID", "RecordLocator", *keys).agg(F.sum("NetFareC").alias("NetFareC"))
-    return seats.groupBy(*keys).agg(
+    keys = [c for c in rows.columns if c not in (*seat, "NetFareC")]
+    return _seats(rows).groupBy(*keys).agg(
         F.count("PassengerID").alias("TotalSeatSold"), F.countDistinct("RecordLocator").alias("TotalBooking"),
         m.money(F.sum("NetFareC")).alias("TotalBaseFareCNY"),
     )
