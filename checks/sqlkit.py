@@ -13,6 +13,8 @@ def with_standins(sql: str) -> str:
     used = [n for n in STANDINS if re.search(rf"\bt_{n}\b", sql)]
     ctes = [f"t_{n} AS ({duckdb_text(STANDINS[n]).strip()})" for n in used]
     body = sql.strip()
+    if not used:
+        return body
     if body.upper().startswith("WITH "):
         return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
     return "WITH " + ",\n".join(ctes) + "\n" + body
