@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from farespan.functions import fixed, labels, windows
@@ -400,14 +401,13 @@ def finance_by_flight(t: Tables, now: datetime, departs: Window | None = None) -
 
 def _traffic(rows: DataFrame, by_flight: list[str]) -> DataFrame:
     """Passenger miles and available seat miles of the flight, on its first row."""
-    totals = rows.groupBy(*by_flight).agg(
-        F.sum("SeatsSold").alias("_seats"), F.sum("Capacity").alias("_cap"), F.sum("ActualDistance").alias("_km")
-    )
-    joined = rows.join(totals, by_flight, "left")
+    flight = W.partitionBy(*by_flight)
     first = F.col("RowNo") == 1
-    return joined.withColumn("PassengerMiles", F.when(first, F.col("_seats") * F.col("_km")).otherwise(F.lit(0))).withColumn(
-        "ASM", F.when(first, F.col("_cap") * F.col("_km")).otherwise(F.lit(0))
-    )
+    km = F.sum("ActualDistance").over(flight)
+    return rows.withColumns({
+        "PassengerMiles": F.when(first, F.sum("SeatsSold").over(flight) * km).otherwise(F.lit(0)),
+        "ASM": F.when(first, F.sum("Capacity").over(flight) * km).otherwise(F.lit(0)),
+    })
 
 
 # ---------------------------------------------------------------- pax and capacity

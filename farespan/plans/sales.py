@@ -130,6 +130,7 @@ def currency_sales(t: Tables, now: datetime, window: Window | None = None, depar
     by_currency = parts.groupBy(*keys).agg(
         *[m.money(F.sum(n)).alias(n) for n in names], F.sum("SeatsSold").alias("SeatsSold")
     ).where(F.col("CarrierCode") != fixed.FERRY_CARRIER)
+    by_currency = stage(by_currency, "currency-sales")
     return sales_with_ask(by_currency, *forward_ask_tables(t, departs), window)
 
 
@@ -138,7 +139,7 @@ def forward_ask_tables(t: Tables, departs: Window) -> tuple[DataFrame, DataFrame
     legs = px.drop_charters(px.live_legs(t), t["chartered_flights"]).where(
         departs.covers("DepartureDate") & (F.col("Capacity") > 0)
     )
-    sectors = cap.ask(cap.sector_capacity(legs), t["city_pair"], t["distance"])
+    sectors = stage(cap.ask(cap.sector_capacity(legs), t["city_pair"], t["distance"]), "currency-sectors")
     per_currency = cap.forward_ask(cap.ask_currency(sectors, t), ["CarrierCode", "AskCurrency"])
     return per_currency, cap.forward_ask(sectors, ["CarrierCode"])
 

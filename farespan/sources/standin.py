@@ -8,9 +8,12 @@ stands for a driver table and ``@fan(n)`` for n copies of each row numbered
 from __future__ import annotations
 
 import re
+import uuid
+import zlib
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+from farespan.sources.sinks import staging_dir
 from farespan.sources.tables import Tables
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -255,9 +258,9 @@ STANDINS: dict[str, str] = {
 }
 
 
-def spark_text(sql: str, sf_dir: str) -> str:
+def spark_text(sql: str, view: str = "") -> str:
     sql = re.sub(r"@fan\((\d+)\)", lambda m: f"LATERAL VIEW explode(sequence(0, {int(m[1]) - 1})) f AS k", sql)
-    return re.sub(r"@(\w+)", lambda m: f"parquet.`{sf_dir}/{m[1]}.parquet`", sql)
+    return re.sub(r"@(\w+)", lambda m: f"{view}{m[1]}", sql)
 
 
 def duckdb_text(sql: str) -> str:
@@ -265,6 +268,48 @@ def duckdb_text(sql: str) -> str:
     return re.sub(r"@(\w+)", lambda m: m[1], sql)
 
 
+# Hash key the two large driver tables are spread on.
+SPREAD = {"lineitem": "l_orderkey", "orders": "o_orderkey"}
+
+# Derived tables already written, by application, data directory and name.
+_derived: dict[tuple[str, str, str], str] = {}
+
+
+def driver_view(spark: SparkSession, sf_dir: str, name: str, prefix: str) -> None:
+    """Make a driver table a view, spread out where it has fewer files than there are cores.
+
+    The driver writes one file per table, which one task would read; a table in many
+    files is left as it is.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in SPREAD and len(df.inputFiles()) < cores:
+        df = df.repartition(cores, SPREAD[name])
+    df.createOrReplaceTempView(f"{prefix}{name}")
+
+
+def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One airline table, derived from the driver tables."""
+    prefix = f"driver_{zlib.crc32(sf_dir.encode()):08x}_"
+    for driver in set(re.findall(r"@(\w+)", STANDINS[name])) & set(DRIVER_TABLES):
+        driver_view(spark, sf_dir, driver, prefix)
+    return spark.sql(spark_text(STANDINS[name], prefix))
+
+
 def airline(spark: SparkSession, sf_dir: str) -> Tables:
-    """The airline tables over one scale-factor directory."""
-    return Tables(spark, lambda name: spark.sql(spark_text(STANDINS[name], sf_dir.rstrip("/"))), list(STANDINS))
+    """The airline tables over one scale-factor directory.
+
+    A table is derived once per application and written as Parquet next to the other
+    staged data, so reports scan stored tables, as they would in use.
+    """
+    sf_dir = sf_dir.rstrip("/")
+
+    def read(name: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir, name)
+        if key not in _derived:
+            path = f"{staging_dir(spark)}/farespan-source/{name}-{uuid.uuid4().hex}"
+            derive(spark, sf_dir, name).write.parquet(path)
+            _derived[key] = path
+        return spark.read.parquet(_derived[key])
+
+    return Tables(spark, read, list(STANDINS))
