@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farespan.functions import fixed
+from farespan.functions.timefn import day
 from farespan.functions.windows import Window
 from farespan.operators.money import signed_by_matrix
 from farespan.sources.tables import Tables
@@ -81,6 +82,18 @@ def journey_charges(t: Tables, known_types: bool = True) -> DataFrame:
     return signed_by_matrix(charges, t["charge_type_matrix"], "inner" if known_types else "left")
 
 
+def segment_sums(charges: DataFrame, measures: dict[str, Column], by_day: bool = True) -> DataFrame:
+    """Charge sums per segment, currency and (``by_day``) charge day.
+
+    Charges are added up before they meet the passengers: rows of one segment are
+    stored together, so most of the reduction happens on the map side, and the join
+    that follows moves one narrow row per segment instead of one per charge.
+    """
+    keys = ["PassengerID", "SegmentID", "CurrencyCode"]
+    days = [day("CreatedDate").alias("CreatedDay")] if by_day else []
+    return charges.groupBy(*keys, *days).agg(*[e.alias(n) for n, e in measures.items()])
+
+
 def fee_lines(t: Tables) -> DataFrame:
     """Fees with the charges booked under the fee's own code."""
     fee = t["passenger_fee"].select("PassengerID", "FeeNumber", F.col("FeeCode"), F.col("InventoryLegID").alias("FeeLegID"))

@@ -112,9 +112,14 @@ def channel_report(t: Tables, window: Window, spec: ChannelSpec) -> DataFrame:
         "DepCountry", "ArrCountry",
     ]
     kept += [c for c in ("FlightNumber", "ProductClassCode", "FareClassOfService") if c in fact.columns]
-    per_segment = fact.join(px.journey_charges(t), ["PassengerID", "SegmentID"]).groupBy(*kept, "CurrencyCode").agg(
-        m.bucket(m.fare_types(), m.of_code("KLIA2")).alias("Fare"), m.bucket(m.fuel()).alias("Fuel")
+    charges = px.segment_sums(
+        px.journey_charges(t),
+        {"Fare": m.bucket(m.fare_types(), m.of_code("KLIA2")), "Fuel": m.bucket(m.fuel())}, by_day=False,
     )
+    per_segment = fact.select(*kept).join(charges, ["PassengerID", "SegmentID"])
+    if spec.collapse:
+        # Only a later distinct can tell a repeated segment from one with the sum.
+        per_segment = per_segment.groupBy(*kept, "CurrencyCode").agg(F.sum("Fare").alias("Fare"), F.sum("Fuel").alias("Fuel"))
     if spec.point_of_sale:
         sold_at = px.point_of_sale(t, booked).drop("POSCountryCode" if not spec.collapse else "_none")
         per_segment = per_segment.join(sold_at, ["BookingID", "PassengerID"], "left")

@@ -25,14 +25,9 @@ def daily_sales(t: Tables, now: datetime, window: Window | None = None) -> DataF
     fact = px.passenger_fact(t, px.bookings(t, window, None), px.live_legs(t))
     role = t["agent_role"].select(F.col("AgentID").alias("CreatedAgentID"), "RoleCode")
     fact = fact.join(role, "CreatedAgentID", "left")
-    per_segment = (
-        fact.join(px.journey_charges(t), ["PassengerID", "SegmentID"])
-        .groupBy(
-            "PassengerID", "SegmentID", day("BookingDate").alias("BookingDate"), "CarrierCode", "Status", "RoleCode",
-            "CurrencyCode", day("CreatedDate").alias("CreatedDay"),
-        )
-        .agg(m.bucket(m.fare_types()).alias("Fare"))
-        .withColumn("Home", home_currency("CarrierCode"))
+    charges = px.segment_sums(px.journey_charges(t), {"Fare": m.bucket(m.fare_types())})
+    per_segment = fact.join(charges, ["PassengerID", "SegmentID"]).withColumns(
+        {"Home": home_currency("CarrierCode"), "BookingDate": day("BookingDate")}
     )
     converted = m.convert(per_segment, t["fx_history"], ["Fare"], home="Home", charged="CurrencyCode", on="CreatedDay",
                           mode="local", suffix="Home")
@@ -48,8 +43,10 @@ def _converted_sums(rows: DataFrame, t: Tables, keys: list[str], measures: dict[
     Charges are first summed per key, currency and day, on the map side, so only
     the small result meets the rate history.
     """
-    group = list(dict.fromkeys([*keys, "CurrencyCode", *([home] if home else [])]))
-    summed = rows.groupBy(*group, day("CreatedDate").alias("CreatedDay")).agg(*[e.alias(n) for n, e in measures.items()])
+    group = list(dict.fromkeys([*keys, "CurrencyCode", *([home] if home else []), "CreatedDay"]))
+    if "CreatedDay" not in rows.columns:
+        rows = rows.withColumn("CreatedDay", day("CreatedDate"))
+    summed = rows.groupBy(*group).agg(*[e.alias(n) for n, e in measures.items()])
     out = m.convert(summed, t["fx_history"], list(measures), home=home or "MYR", charged="CurrencyCode", on="CreatedDay",
                     mode=mode, suffix="_c")
     return out.groupBy(*keys).agg(*[m.money(F.sum(f"{n}_c")).alias(n) for n in measures])
@@ -69,14 +66,17 @@ def cash_flow(t: Tables, now: datetime, window: Window | None = None, bounds: st
     keys = ["BookingDate", "CarrierCode", "IsChartered", "Status", "CurrencyCode"]
     codes = t["ancillary_fee_codes"]
 
-    journey = _converted_sums(
-        fact.join(m.with_ancillary(px.journey_charges(t), codes), ["PassengerID", "SegmentID"]), t, keys,
+    charges = px.segment_sums(
+        m.with_ancillary(px.journey_charges(t), codes),
         {
             "FareRevenue": m.bucket(m.fare_types(), m.of_code(*fixed.SURCHARGE_CODES)),
             "AncillaryRevenue": m.bucket(m.ancillary()),
             "Tax": m.bucket(m.of_code(*fixed.TAX_CODES)),
         },
-        "local", "Home",
+    )
+    journey = _converted_sums(
+        fact.join(charges, ["PassengerID", "SegmentID"]), t, keys,
+        {n: F.sum(n) for n in ("FareRevenue", "AncillaryRevenue", "Tax")}, "local", "Home",
     )
     fees = m.with_ancillary(m.signed_by_matrix(px.fee_lines(t), t["charge_type_matrix"]), codes, "FeeCode")
     measures = {
@@ -109,13 +109,16 @@ def currency_sales(t: Tables, now: datetime, window: Window | None = None, depar
     keys = ["BookingDate", "CarrierCode", "CurrencyCode"]
     names = ["FareRevenue", "FuelAmount", "FeeAmount", "JourneyChargeOthers"]
     codes = t["ancillary_fee_codes"]
-    charged = fact.join(m.with_ancillary(px.journey_charges(t), codes), ["PassengerID", "SegmentID"])
-    per_segment = charged.groupBy("PassengerID", "SegmentID", *keys, day("CreatedDate").alias("CreatedDay")).agg(
-        m.bucket(m.fare_types(), m.of_code("KLIA2")).alias("FareRevenue"),
-        m.bucket(m.fuel()).alias("FuelAmount"),
-        m.bucket(m.ancillary()).alias("FeeAmount"),
-        m.bucket(m.other()).alias("JourneyChargeOthers"),
+    charges = px.segment_sums(
+        m.with_ancillary(px.journey_charges(t), codes),
+        {
+            "FareRevenue": m.bucket(m.fare_types(), m.of_code("KLIA2")),
+            "FuelAmount": m.bucket(m.fuel()),
+            "FeeAmount": m.bucket(m.ancillary()),
+            "JourneyChargeOthers": m.bucket(m.other()),
+        },
     )
+    per_segment = fact.join(charges, ["PassengerID", "SegmentID"])
     journey = m.convert(per_segment, t["fx_history"], names, home="MYR", charged="CurrencyCode", on="CreatedDay",
                         mode="myr", suffix="_c").groupBy(*keys).agg(
         *[m.money(F.sum(f"{n}_c")).alias(n) for n in names], F.countDistinct("SegmentID").alias("SeatsSold")
