@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farespan.functions import fixed, labels, windows
@@ -52,10 +52,6 @@ class Snapshot:
     by_charge_number: bool
     premium: tuple[str, ...]
 
-    def fare(self) -> Column:
-        first = (F.col("ChargeNumber") == 0) if self.by_charge_number else m.of_type(0, 8)
-        return first
-
 
 def snapshots(spans: windows.YearOnYear) -> dict[str, Snapshot]:
     return {
@@ -65,35 +61,50 @@ def snapshots(spans: windows.YearOnYear) -> dict[str, Snapshot]:
     }
 
 
-def snapshot_passengers(t: Tables, spec: CompareSpec, snap: Snapshot) -> DataFrame:
-    """Passenger revenue of one snapshot, per flight and cabin."""
-    seg = segment_view(t).where(
-        snap.booked.shift(-8).covers("CreatedDate") & snap.departs.covers("DepartureDate")
-        & ~F.col("FlightNumber").isin(list(fixed.D7_SPECIAL))
-    )
-    if snap.confirmed_only:
-        seg = seg.where(F.col("BookingStatus") == "HK")
+def priced_segments(t: Tables, spec: CompareSpec, departs: Window) -> DataFrame:
+    """Segments of every snapshot with revenue under both fare rules, in one pass.
+
+    Charges, bookings and rates are read once; a snapshot is then a filter.
+    """
+    seg = segment_view(t).where(departs.covers("DepartureDate") & ~F.col("FlightNumber").isin(list(fixed.D7_SPECIAL)))
     if spec.own:
         seg = seg.where(F.col("CarrierCode").isin(list(spec.own)))
     seg = px.remap_carrier(seg, t["carrier_mapping"])
     if spec.mapped:
         seg = seg.where(F.col("CarrierCode").isin(list(spec.mapped)))
     seg = seg.select(
-        "PassengerID", "SegmentID", "DepartureDate", "CarrierCode", "FlightNumber", tf.day("CreatedDate").alias("CreatedDay"),
-        sector("DepartureStation", "ArrivalStation").alias("Route"), labels.cabin("FareClassOfService", snap.premium).alias("Cabin"),
+        "PassengerID", "SegmentID", "DepartureDate", "CarrierCode", "FlightNumber", "FareClassOfService", "BookingStatus", "CreatedDate",
+        tf.day("CreatedDate").alias("CreatedDay"), sector("DepartureStation", "ArrivalStation").alias("Route"),
     )
     charges = t["passenger_journey_charge"].select("PassengerID", "SegmentID", "ChargeNumber", "ChargeType", "ChargeCode", "ChargeAmount")
     # A row that is both the first charge and a discount counts in both, so parts stay apart.
+    less = [m.of_type(1), m.of_type(7)]
     totals = m.segment_charges(
-        charges, {"BaseFare": [snap.fare(), m.of_type(1), m.of_type(7)]}, {"FuelSurcharge": m.fuel(), **extra_parts()}
+        charges, {"BaseFare": [m.of_type(0, 8), *less], "FirstFare": [F.col("ChargeNumber") == 0, *less]},
+        {"FuelSurcharge": m.fuel(), **extra_parts()},
     )
     people = t["booking_passenger"].select("PassengerID", "BookingID")
     booking = t["booking"].select("BookingID", "RecordLocator", "CurrencyCode")
-    rows = seg.join(totals, ["PassengerID", "SegmentID"], "left")
-    rows = m.zero_filled(rows.join(people, "PassengerID", "left").join(booking, "BookingID", "left"), BUCKETS)
-    rows = m.convert(rows, t["fx_history"], list(BUCKETS), home=spec.currency, charged="CurrencyCode", on="CreatedDay",
-                     mode=spec.mode, suffix="_c")
-    return rows.groupBy("PassengerID", "RecordLocator", *FLIGHT).agg(*[m.money(F.sum(f"{b}_c")).alias(b) for b in BUCKETS])
+    rows = seg.join(totals, ["PassengerID", "SegmentID"], "left").join(people, "PassengerID", "left").join(booking, "BookingID", "left")
+    amounts = [*BUCKETS, "FirstFare"]
+    rows = m.convert(m.zero_filled(rows, amounts), t["fx_history"], amounts, home=spec.currency, charged="CurrencyCode",
+                     on="CreatedDay", mode=spec.mode, suffix="_c")
+    return rows.select(
+        "PassengerID", "RecordLocator", "DepartureDate", "CarrierCode", "FlightNumber", "Route", "FareClassOfService",
+        "BookingStatus", "CreatedDate", *[f"{a}_c" for a in amounts],
+    )
+
+
+def snapshot_passengers(priced: DataFrame, snap: Snapshot) -> DataFrame:
+    """Passenger revenue of one snapshot, per flight and cabin."""
+    rows = priced.where(snap.booked.shift(-8).covers("CreatedDate") & snap.departs.covers("DepartureDate"))
+    if snap.confirmed_only:
+        rows = rows.where(F.col("BookingStatus") == "HK")
+    rows = rows.withColumn("Cabin", labels.cabin("FareClassOfService", snap.premium))
+    source = {b: b for b in BUCKETS} | ({"BaseFare": "FirstFare"} if snap.by_charge_number else {})
+    return rows.groupBy("PassengerID", "RecordLocator", *FLIGHT).agg(
+        *[m.money(F.sum(f"{source[b]}_c")).alias(b) for b in BUCKETS]
+    )
 
 
 def flights_sold(passengers: DataFrame, ancillary: DataFrame) -> DataFrame:
@@ -149,7 +160,8 @@ def route_performance(t: Tables, now: datetime, spec: CompareSpec) -> DataFrame:
     """Three snapshots side by side for this year, and next year against this one."""
     spans = windows.year_on_year(windows.to_local(now, windows.MALAYSIA))
     snaps = snapshots(spans)
-    current = stage(snapshot_passengers(t, spec, snaps[""]), f"compare-{spec.name}-passengers")
+    priced = stage(priced_segments(t, spec, spans.departs_all), f"compare-{spec.name}-segments")
+    current = stage(snapshot_passengers(priced, snaps[""]), f"compare-{spec.name}-passengers")
     # All snapshots meet the extras of the current passengers.
     ancillary = ancillary_by_flight(
         fee_amounts(current, t, None, True), t, (("", spec.currency, spec.mode),)
@@ -159,7 +171,7 @@ def route_performance(t: Tables, now: datetime, spec: CompareSpec) -> DataFrame:
 
     weeks = {}
     for tag, snap in snaps.items():
-        passengers = current if tag == "" else snapshot_passengers(t, spec, snap)
+        passengers = current if tag == "" else snapshot_passengers(priced, snap)
         weeks[tag] = stage(weekly(inventory, flights_sold(passengers, ancillary)), f"compare-{spec.name}-weeks{tag}")
 
     def names(tag: str) -> dict[str, str]:
