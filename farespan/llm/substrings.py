@@ -38,9 +38,9 @@ from farespan.llm.common import stage
 LENGTH, TRIGGER = 50, 24
 AHEAD = LENGTH - TRIGGER  # bytes of a string that can stand before its trigger
 WIDE = AHEAD + LENGTH  # bytes of a phrase
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 HOT = 500
-BUCKET_BYTES = 64 << 20  # text whose triggers meet in a group
+BUCKET_BYTES = 16 << 20  # text whose triggers meet in a group
 LAST = np.iinfo(np.int64).max  # doc_id of a row that has none: after all others
 
 
@@ -187,8 +187,12 @@ def _spread(table: pa.Table, hot: int) -> pa.Table:
         wide = np.zeros((len(x) // 5, 8), dtype=np.uint8)
         wide[:, :5] = x.reshape(-1, 5)
         parts.append(wide.view(A.U).ravel())
-    _, name, n = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
-    code = ((n > 1).astype(np.uint8) + (n > hot))[name].astype(np.uint8)
+    every = np.concatenate(parts)
+    order = np.argsort(every, kind="stable")
+    edge = np.r_[np.flatnonzero(np.r_[True, np.diff(every[order]) != 0]), len(every)]
+    n = np.diff(edge)
+    code = np.empty(len(every), dtype=np.uint8)
+    code[order] = np.repeat((n > 1).astype(np.uint8) + (n > hot), n)
     ends = np.cumsum([len(x) for x in parts])
     codes = [code[b - len(x) : b].tobytes() for x, b in zip(parts, ends)]
     return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "codes": pa.array(codes, pa.binary())})
