@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from farespan.llm import decontaminate, jaccard, mixing, quality, sharding, substrings, urls
+from farespan.llm import bayes, decontaminate, jaccard, licenses, lines, mixing, quality, sharding, substrings, urls
 from farespan.llm.common import read
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup(read(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -28,13 +32,27 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read(spark, sf_dir, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bayes.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_shards, op4_jaccard_join, op5_substrings, op6_mix, op8_quality_rules, op10_url_filter)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_line_dedup, op2_decontaminate, op3_shards, op4_jaccard_join, op5_substrings, op6_mix,
+        op7_license_scan, op8_quality_rules, op9_quality_classifier, op10_url_filter,
+    )
+}
 SQL: dict[str, str] = {}
