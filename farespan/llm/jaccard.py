@@ -38,6 +38,7 @@ HINTS = 1 << 16  # common shingles that go last in the order
 HINT_ROWS = 8  # seen in at least so many documents
 GROUP = 4000  # sets in a signature tree
 LEAF, FAN = 8, 8
+DOUBTS = 8  # pairs in doubt tested for each set in the first round
 FLUSH = 2 << 20  # hashes that a task gathers before it hands them on
 
 
@@ -118,8 +119,8 @@ def shingle_table(docs: DataFrame, common: np.ndarray) -> DataFrame:
 
 
 def bitmap(own: np.ndarray) -> np.ndarray:
-    """A power of two of bits, at least four a shingle."""
-    size = max(64, 1 << int(4 * len(own) - 1).bit_length())
+    """A power of two of bits, at least eight a shingle."""
+    size = max(64, 1 << int(8 * len(own) - 1).bit_length())
     out = np.zeros(size, dtype=np.uint8)
     out[(own & A.U(size - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").view(A.U)
@@ -224,8 +225,8 @@ def apart(x: Node, y: Node) -> bool:
     return 5 * x.hi < 4 * y.lo or 5 * y.hi < 4 * x.lo or most_overlap(x, y) < needed(x.lo, y.lo)
 
 
-def compare(x: Node, y: Node) -> int:
-    """0: the sets can't link; 1: they may; 2: they surely seem to."""
+def compare(x: Node, y: Node) -> float:
+    """0: the sets can't link; 1: they surely seem to; between: how near they may come."""
     if 5 * x.hi < 4 * y.hi or 5 * y.hi < 4 * x.hi:
         return 0
     size = min(len(x.bits), len(y.bits))
@@ -237,15 +238,17 @@ def compare(x: Node, y: Node) -> int:
     width = 64 * size
     lone_a = only_a / max(1e-9, 1 - int(np.bitwise_count(b).sum()) / width)
     lone_b = only_b / max(1e-9, 1 - int(np.bitwise_count(a).sum()) / width)
-    likely = min(x.hi - lone_a - 3 * lone_a**0.5, y.hi - lone_b - 3 * lone_b**0.5)
-    return 2 if likely >= need + 1 else 1
+    likely = min(x.hi - lone_a, y.hi - lone_b)
+    return 1.0 if likely >= need else max(1e-9, likely / (2 * need))
 
 
-def tree_pairs(n: list[int], bits: list[np.ndarray], root: list, failed: list[set], side: list[int] | None = None) -> list[tuple[int, int, bool]]:
+def tree_pairs(n: list[int], bits: list[np.ndarray], root: list, failed: list[set], side: list[int] | None = None, most: int = 1 << 30) -> tuple[list[tuple[int, int, bool]], bool]:
     """Pairs that may link, with whether they surely seem to, skipping what is connected.
 
     ``root`` names the known component of each set, ``failed`` the sets it was found not to
-    link with. With ``side`` only pairs across the two sides are wanted.
+    link with. With ``side`` only pairs across the two sides are wanted. Of the pairs in
+    doubt, those are held back that have a set with ``most`` better ones; the second value
+    tells whether any were.
     """
     up = {}
     parent = [up.setdefault(r, i) for i, r in enumerate(root)]
@@ -273,7 +276,7 @@ def tree_pairs(n: list[int], bits: list[np.ndarray], root: list, failed: list[se
     while len(level) > 1:
         level = [_parent(level[i : i + fan]) for i in range(0, len(level), fan)]
         fan = FAN
-    out, stack = [], [(level[0], level[0])]
+    out, doubt, stack = [], [], [(level[0], level[0])]
     while stack:
         x, y = stack.pop()
         if x is y:
@@ -290,14 +293,25 @@ def tree_pairs(n: list[int], bits: list[np.ndarray], root: list, failed: list[se
             if (side and side[i] == side[j]) or j in failed[i]:
                 continue
             verdict = compare(x, y)
-            if verdict:
-                out.append((i, j, verdict == 2))
-                if verdict == 2:
-                    parent[find(i)] = find(j)
-    return out
-
-
-def _cells(pdf: pd.DataFrame) -> pd.DataFrame:
+            if verdict == 1:
+                out.append((i, j, True))
+                parent[find(i)] = find(j)
+            elif verdict:
+                doubt.append((-verdict, i, j))
+    held, taken = False, [0] * len(n)
+    for _, i, j in sorted(doubt):
+        if find(i) != find(j):
+            if max(taken[i], taken[j]) < most:
+                taken[i] += 1
+                taken[j] += 1
+                out.append((i, j, False))
+            else:
+                held = True
+    return out, held
+
+
+def _cells(pdf: pd.DataFrame, most: int) -> pd.DataFrame:
+    """Pairs of some cells; a row without a pair tells that some were held back."""
     rows = []
     sid, n, root = pdf["sid"].to_numpy(), pdf["n"].tolist(), pdf["root"].tolist()
     bits = [np.frombuffer(x, dtype=A.U) for x in pdf["bits"]]
@@ -307,13 +321,14 @@ def _cells(pdf: pd.DataFrame) -> pd.DataFrame:
         where = {sid[i]: k for k, i in enumerate(at)}
         no = [{where[s] for s in (failed[i] if failed[i] is not None else ()) if s in where} for i in at]
         sides = [side[i] for i in at]
-        for a, b, sure in tree_pairs([n[i] for i in at], [bits[i] for i in at], [root[i] for i in at], no, sides if len(set(sides)) > 1 else None):
-            a, b = sorted((sid[at[a]], sid[at[b]]))
-            rows.append((int(a), int(b), sure))
-    return pd.DataFrame(rows, columns=["a", "b", "sure"]).astype({"a": "int64", "b": "int64", "sure": bool})
+        pairs, held = tree_pairs([n[i] for i in at], [bits[i] for i in at], [root[i] for i in at], no, sides if len(set(sides)) > 1 else None, most)
+        rows.extend((*sorted((int(sid[at[a]]), int(sid[at[b]]))), sure) for a, b, sure in pairs)
+        if held:
+            rows.append((None, None, False))
+    return pd.DataFrame(rows, columns=["a", "b", "sure"]).astype({"a": "Int64", "b": "Int64", "sure": bool})
 
 
-def candidates(cells: DataFrame, classes: DataFrame, roots: DataFrame | None, tested: DataFrame | None) -> DataFrame:
+def candidates(cells: DataFrame, classes: DataFrame, roots: DataFrame | None, tested: DataFrame | None, most: int) -> DataFrame:
     """(a, b, sure) from the signature tree of every cell of ``cell, side, sid``."""
     size = cells.count()
     packs = size // (2 * GROUP) + cells.sparkSession.sparkContext.defaultParallelism
@@ -323,7 +338,7 @@ def candidates(cells: DataFrame, classes: DataFrame, roots: DataFrame | None, te
     else:
         no = tested.filter("not linked").select(F.explode(F.array(F.struct(F.col("a").alias("sid"), F.col("b").alias("o")), F.struct(F.col("b").alias("sid"), F.col("a").alias("o")))).alias("p")).groupBy("p.sid").agg(F.collect_set("p.o").alias("failed"))
         rows = rows.join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid")).drop("node").join(no, "sid", "left")
-    found = rows.withColumn("_pack", F.pmod(F.xxhash64("cell"), F.lit(packs))).groupBy("_pack").applyInPandas(_cells, "a long, b long, sure boolean")
+    found = rows.withColumn("_pack", F.pmod(F.xxhash64("cell"), F.lit(packs))).groupBy("_pack").applyInPandas(lambda pdf: _cells(pdf, most), "a long, b long, sure boolean")
     return found.groupBy("a", "b").agg(F.max("sure").alias("sure"))
 
 
@@ -411,17 +426,20 @@ def across(large: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def rounds(cells: DataFrame, tested: DataFrame | None, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """All pairs tested, with their outcome, until no edge that seemed sure was wrong."""
-    cells = stage(cells, "jaccard-cells")
+    """All pairs tested, with their outcome, until none is held back and no edge that
+    seemed sure was wrong. A round tests DOUBTS times as many pairs in doubt as the last."""
+    cells, most = stage(cells, "jaccard-cells"), DOUBTS
     while True:
-        found = candidates(cells, classes, None if tested is None else roots_of(tested), tested)
+        found = candidates(cells, classes, None if tested is None else roots_of(tested), tested, most)
         if tested is not None:
             found = found.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        now = stage(verified(stage(found, "jaccard-pairs"), classes, docs), "jaccard-tested")
-        wrong = not now.filter("sure and not linked").isEmpty()
+        found = stage(found, "jaccard-pairs")
+        now = stage(verified(found.filter("a is not null"), classes, docs), "jaccard-tested")
+        more = not found.filter("a is null").isEmpty() or not now.filter("sure and not linked").isEmpty()
         tested = now if tested is None else stage(tested.unionByName(now), "jaccard-tested")
-        if not wrong:
+        if not more:
             return tested
+        most *= DOUBTS
 
 
 def join(docs: DataFrame) -> DataFrame:
