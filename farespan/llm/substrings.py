@@ -40,6 +40,7 @@ AHEAD = LENGTH - TRIGGER  # bytes of a string that can stand before its trigger
 WIDE = AHEAD + LENGTH  # bytes of a phrase
 CHUNK = 2 << 20
 HOT = 500
+ROWS = 1 << 13  # phrases that are spelled out at a time
 BUCKET_BYTES = 16 << 20  # text whose triggers meet in a group
 LAST = np.iinfo(np.int64).max  # doc_id of a row that has none: after all others
 
@@ -132,7 +133,7 @@ def triggers(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate([*pos, np.zeros(0, np.int64)]), np.concatenate([*got, np.zeros(0, A.U)])
 
 
-def _stretches(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def _stretches(offsets: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Whole texts together up to about ``most`` bytes; a longer text alone."""
     at = 0
     for i in range(1, len(offsets)):
@@ -209,11 +210,12 @@ def _codes(chunk: Chunk, replies: pa.Table) -> np.ndarray:
 # -- round 2: suffixes of phrases that a smaller document has --------------------------------
 
 def _entries(chunk: Chunk, which: np.ndarray, buckets: int):
-    """Distinct phrases of some triggers: for each trigger its entry; for each entry its
-    symbols, least doc_id and bucket, in the order of buckets."""
-    symbols = chunk.phrases(which)
+    """Distinct phrases of some triggers: for each trigger its entry; for each entry a
+    trigger that has it, its least doc_id and bucket, in the order of buckets."""
     p, _ = A.tables(WIDE)
-    key = A.mix(symbols.astype(A.U) @ p[:WIDE])
+    key = np.empty(len(which), dtype=A.U)
+    for i in range(0, len(which), ROWS):
+        key[i : i + ROWS] = A.mix(chunk.phrases(which[i : i + ROWS]).astype(A.U) @ p[:WIDE])
     bucket = _ranges(chunk.g[which], buckets)
     doc_id = chunk.doc_id[chunk.doc[which]]
     order = np.lexsort((doc_id, key, bucket))
@@ -221,7 +223,7 @@ def _entries(chunk: Chunk, which: np.ndarray, buckets: int):
     entry = np.empty(len(order), dtype=np.int64)
     entry[order] = np.cumsum(new) - 1
     first = order[new]
-    return entry, symbols[first], doc_id[first], bucket[first]
+    return entry, which[first], doc_id[first], bucket[first]
 
 
 def _strings(chunk: Chunk, which: np.ndarray, buckets: int):
@@ -234,9 +236,9 @@ def _strings(chunk: Chunk, which: np.ndarray, buckets: int):
     starts, doc = starts[inside], doc[inside]
     key = np.zeros(len(starts), dtype=A.U)
     p, _ = A.tables(LENGTH)
-    for i in range(0, len(starts), 1 << 16):
-        at = starts[i : i + (1 << 16), None] + np.arange(LENGTH)
-        key[i : i + (1 << 16)] = A.mix((chunk.flat[at].astype(A.U) + A.U(1)) @ p[:LENGTH])
+    for i in range(0, len(starts), ROWS):
+        at = starts[i : i + ROWS, None] + np.arange(LENGTH)
+        key[i : i + ROWS] = A.mix((chunk.flat[at].astype(A.U) + A.U(1)) @ p[:LENGTH])
     doc_id = chunk.doc_id[doc]
     order = np.lexsort((doc_id, key))
     new = np.r_[True, key[order][1:] != key[order][:-1]][: len(order)]
@@ -253,11 +255,14 @@ def _deal_phrases(buckets: int):
             return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.binary())], names)
         chunk = Chunk(chunks.column("blob")[0].as_buffer().to_pybytes())
         code = _codes(chunk, replies)
-        _, symbols, docs, bucket = _entries(chunk, np.flatnonzero(code == 1), buckets)
+        _, first, docs, bucket = _entries(chunk, np.flatnonzero(code == 1), buckets)
         # A byte is sent as it is; a symbol outside the text shows in the two counts before it.
-        inside = symbols > 0
-        shape = np.stack([inside[:, :AHEAD].sum(1), inside[:, AHEAD:].sum(1)], axis=1).astype(np.uint8)
-        data = np.concatenate([shape, np.where(inside, symbols - 1, 0).astype(np.uint8)], axis=1)
+        data = np.empty((len(first), WIDE + 2), dtype=np.uint8)
+        for i in range(0, len(first), ROWS):
+            symbols = chunk.phrases(first[i : i + ROWS])
+            data[i : i + ROWS, 0] = (symbols[:, :AHEAD] > 0).sum(1)
+            data[i : i + ROWS, 1] = (symbols[:, AHEAD:] > 0).sum(1)
+            data[i : i + ROWS, 2:] = np.maximum(symbols, 1) - 1
         at_a, (data_a, docs_a) = _cut(bucket, data, docs)
         _, _, _, strings, docs, bucket = _strings(chunk, np.flatnonzero(code == 2), buckets)
         at_b, (data_b, docs_b) = _cut(bucket, strings, docs)
@@ -286,9 +291,9 @@ def _repeated(buckets: int):
             for i in range(AHEAD + 1):
                 key = np.empty(len(doc), dtype=A.U)
                 p, _ = A.tables(LENGTH)
-                for a in range(0, len(doc), 1 << 16):
-                    part = data[a : a + (1 << 16), 2 + i : 2 + i + LENGTH]
-                    key[a : a + (1 << 16)] = A.mix((part.astype(A.U) + A.U(1)) @ p[:LENGTH])
+                for a in range(0, len(doc), ROWS):
+                    part = data[a : a + ROWS, 2 + i : 2 + i + LENGTH]
+                    key[a : a + ROWS] = A.mix((part.astype(A.U) + A.U(1)) @ p[:LENGTH])
                 ok = np.flatnonzero((data[:, 0] >= AHEAD - i) & (data[:, 1] >= LENGTH - AHEAD + i))
                 bits[ok] |= _later(key[ok], doc[ok]).astype(np.uint32) << np.uint32(i)
         ends = np.cumsum(size)
@@ -322,7 +327,7 @@ def _covered(chunk: Chunk, replies: pa.Table, buckets: int) -> np.ndarray:
     bits = np.concatenate([*_read(second.column("bits"), np.uint32), np.zeros(0, np.uint32)])
     which = np.flatnonzero(code == 1)
     starts = np.zeros(len(chunk.flat) + 1, dtype=bool)
-    entry, symbols, least, _ = _entries(chunk, which, buckets)
+    entry, _, least, _ = _entries(chunk, which, buckets)
     phrase_bits, string_bits = bits[: len(least)], bits[len(least) :]
     later = chunk.doc_id[chunk.doc[which]] > least[entry]
     lo, hi = chunk.offsets[chunk.doc[which]], chunk.offsets[chunk.doc[which] + 1]
