@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farespan.llm.common import hot_join, n_words, running, stage
+from farespan.llm.common import WORD, hot_join, n_words, running, stage
 
 WEIGHTS = (5, 2, 1)
 SHARE, CAP = 1.5, 2
@@ -102,7 +102,7 @@ def apply_mix(docs: DataFrame, **how) -> DataFrame:
     sized, cuts = plan(docs, **how)
     total = sized.count()
     names = docs.columns
-    cells = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), _source_key().alias("_source"), _key("doc_id").alias("_key"))
+    cells = docs.filter(F.col("text").rlike(WORD)).select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), _source_key().alias("_source"), _key("doc_id").alias("_key"))
     out = hot_join(cells, cuts.select("_source", "epochs", "_cut", "_part", "n"), "_source", "n", total)
     whole = F.col("epochs") + F.when((F.col("_key") < F.col("_cut")) | ((F.col("_key") == F.col("_cut")) & (F.col("_part") > 0)), 1).otherwise(0)
     copies = F.explode(F.sequence(F.lit(1), whole.cast("int")))
