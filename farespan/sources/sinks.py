@@ -39,12 +39,22 @@ def write_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int) -> N
     df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def staging_dir(spark: SparkSession) -> str:
-    """Shared folder the cluster names; a private local one where none is named."""
+    """Shared folder the cluster names; a private local one in a local session that names none.
+
+    Executors of a cluster don't see each other's local folders, so there the setting is needed.
+    """
     global _local_dir
     shared = spark.conf.get(CHECKPOINT_DIR, None)
     if shared:
         return shared.rstrip("/")
+    if not is_local(spark.sparkContext.master):
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     if _local_dir is None:
         _local_dir = tempfile.mkdtemp(prefix="farespan-")
         atexit.register(shutil.rmtree, _local_dir, ignore_errors=True)

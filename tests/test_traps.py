@@ -1,3 +1,4 @@
+import pytest
 """Small hand-made inputs, one per rule that is easy to get wrong."""
 
 from datetime import date, datetime
@@ -241,3 +242,16 @@ def test_bucketed_facts_join_without_moving(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE IF EXISTS fs_seg")
         spark.sql("DROP TABLE IF EXISTS fs_chg")
+
+
+def test_staging_folder_is_named_on_a_cluster():
+    from types import SimpleNamespace
+
+    from farespan.sources.sinks import staging_dir
+
+    conf = {}
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf.get(key, default)), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError):
+        staging_dir(cluster)
+    conf["spark.checkpoint.dir"] = "hdfs://shared/stage/"
+    assert staging_dir(cluster) == "hdfs://shared/stage"
