@@ -1,9 +1,9 @@
-import pytest
 """Small hand-made inputs, one per rule that is easy to get wrong."""
 
 from datetime import date, datetime
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from farespan.functions.windows import Window
