@@ -41,7 +41,7 @@ WIDE = AHEAD + LENGTH  # bytes of a phrase
 CHUNK = 2 << 20
 HOT = 500
 ROWS = 1 << 13  # phrases that are spelled out at a time
-BUCKET_BYTES = 16 << 20  # text whose triggers meet in a group
+BUCKET_BYTES = 8 << 20  # text whose triggers meet in a group: a task holds about six times this, twice
 LAST = np.iinfo(np.int64).max  # doc_id of a row that has none: after all others
 
 
