@@ -41,7 +41,7 @@ WIDE = AHEAD + LENGTH  # bytes of a phrase
 CHUNK = 2 << 20
 HOT = 500
 ROWS = 1 << 13  # phrases that are spelled out at a time
-BUCKET_BYTES = 8 << 20  # text whose triggers meet in a group: a task holds about six times this, twice
+BUCKET_BYTES = 4 << 20  # text whose triggers meet in a group: a task holds about six times this, twice
 LAST = np.iinfo(np.int64).max  # doc_id of a row that has none: after all others
 
 
@@ -255,6 +255,7 @@ def _deal_phrases(buckets: int):
             return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.binary())], names)
         chunk = Chunk(chunks.column("blob")[0].as_buffer().to_pybytes())
         code = _codes(chunk, replies)
+        pa.default_memory_pool().release_unused()
         _, first, docs, bucket = _entries(chunk, np.flatnonzero(code == 1), buckets)
         # A byte is sent as it is; a symbol outside the text shows in the two counts before it.
         data = np.empty((len(first), WIDE + 2), dtype=np.uint8)
@@ -298,6 +299,7 @@ def _repeated(buckets: int):
                 bits[ok] |= _later(key[ok], doc[ok]).astype(np.uint32) << np.uint32(i)
         ends = np.cumsum(size)
         out = [bits[b - n : b].tobytes() for n, b in zip(size, ends)]
+        pa.default_memory_pool().release_unused()
         return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "bits": pa.array(out, pa.binary())})
 
     return run
@@ -353,6 +355,7 @@ def _finish(buckets: int, with_text: bool):
             return pa.table([pa.array([], t) for t in types], names)
         chunk = Chunk(chunks.column("blob")[0].as_buffer().to_pybytes())
         gone = _covered(chunk, replies, buckets)
+        pa.default_memory_pool().release_unused()
         rows = []
         for i, doc_id in enumerate(chunk.rows.column("doc_id").to_pylist()):
             a, b = chunk.offsets[i], chunk.offsets[i + 1]
