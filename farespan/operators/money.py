@@ -158,8 +158,12 @@ def rates(fx: DataFrame, frm: Sequence[str] | None = None, to: Sequence[str] | N
     )
 
 
-def with_rate(df: DataFrame, fx: DataFrame, frm: ColumnLike, to: ColumnLike, on: ColumnLike, name: str = "Rate") -> DataFrame:
-    """Left join of the rate of (frm, to) on a day; ``frm``/``to`` may be literals."""
+def with_rate(df: DataFrame, fx: DataFrame, frm: ColumnLike, to: ColumnLike, on: ColumnLike, name: str = "Rate",
+              once: bool = False) -> DataFrame:
+    """Left join of the rate of (frm, to) on a day; ``frm``/``to`` may be literals.
+
+    With ``once`` equal rate rows of a day count as one.
+    """
     table, test = rates(fx), []
     for side, key in ((frm, "_from"), (to, "_to")):
         if isinstance(side, str) and side not in df.columns:
@@ -167,6 +171,8 @@ def with_rate(df: DataFrame, fx: DataFrame, frm: ColumnLike, to: ColumnLike, on:
         else:
             test.append(col(side) == F.col(key))
     test.append(col(on) == F.col("_day"))
+    if once:
+        table = table.distinct()
     joined = df.join(table, test, "left")
     return joined.withColumn(name, F.col("_rate")).drop("_from", "_to", "_day", "_rate")
 
@@ -207,16 +213,16 @@ FX_MODES = {
 
 
 def convert(df: DataFrame, fx: DataFrame, amounts: Sequence[str], *, home: ColumnLike, charged: ColumnLike,
-            on: ColumnLike, mode: str, suffix: str, on_missing: int | None | str = "mode") -> DataFrame:
+            on: ColumnLike, mode: str, suffix: str, on_missing: int | None | str = "mode", once: bool = False) -> DataFrame:
     """Convert amount columns into ``home`` with one rate join.
 
     ``mode`` is one of :data:`FX_MODES`.  The first three leave amounts already in
-    the home currency untouched.
+    the home currency untouched.  ``once`` is as in :func:`with_rate`.
     """
     direction, arithmetic, missing = FX_MODES[mode]
     missing = missing if on_missing == "mode" else on_missing
     frm, to = (home, charged) if direction == "from_home" else (charged, home)
-    out = with_rate(df, fx, frm, to, on, "_fx")
+    out = with_rate(df, fx, frm, to, on, "_fx", once)
     rate = F.col("_fx") if missing is None else or_one(out, "_fx")
     home_col = F.lit(home) if isinstance(home, str) and home not in df.columns else col(home)
     for a in amounts:

@@ -115,15 +115,17 @@ def fee_amounts(passengers: DataFrame, t: Tables, keeps: Column | None, by_matri
     return rows.select("PassengerID", "FeeNumber", "FeeCode", *flight, "CurrencyCode", "CreatedDate", "Amount").distinct()
 
 
-def ancillary_by_flight(fees: DataFrame, t: Tables, currencies: tuple[tuple[str, str, str], ...], collapse: bool = True) -> DataFrame:
+def ancillary_by_flight(fees: DataFrame, t: Tables, currencies: tuple[tuple[str, str, str], ...], collapse: bool = True,
+                        once: bool = False) -> DataFrame:
     """Fee revenue per passenger, flight and currency, converted on the charge day.
 
-    ``collapse`` keeps one of several equal amounts of a passenger's flight.
+    ``collapse`` keeps one of several equal amounts of a passenger's flight; ``once`` makes
+    repeated rate rows count once.
     """
     flight = ["DepartureDate", "CarrierCode", "FlightNumber", "DepartureStation", "ArrivalStation"]
     priced = fees.withColumn("CreatedDay", tf.day("CreatedDate"))
     for tag, target, mode in currencies:
-        priced = m.convert(priced, t["fx_history"], ["Amount"], home=target, charged="CurrencyCode", on="CreatedDay", mode=mode, suffix=f"_{tag}")
+        priced = m.convert(priced, t["fx_history"], ["Amount"], home=target, charged="CurrencyCode", on="CreatedDay", mode=mode, suffix=f"_{tag}", once=once)
     sums = [m.money(F.sum(f"Amount_{tag}")).alias(f"Ancillary{tag}") for tag, _, _ in currencies]
     out = priced.groupBy("PassengerID", *flight, "CurrencyCode").agg(*sums)
     out = out.select(

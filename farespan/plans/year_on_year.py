@@ -88,7 +88,7 @@ def priced_segments(t: Tables, spec: CompareSpec, departs: Window) -> DataFrame:
     rows = seg.join(totals, ["PassengerID", "SegmentID"], "left").join(people, "PassengerID", "left").join(booking, "BookingID", "left")
     amounts = [*BUCKETS, "FirstFare"]
     rows = m.convert(m.zero_filled(rows, amounts), t["fx_history"], amounts, home=spec.currency, charged="CurrencyCode",
-                     on="CreatedDay", mode=spec.mode, suffix="_c")
+                     on="CreatedDay", mode=spec.mode, suffix="_c", once=True)
     return rows.select(
         "PassengerID", "RecordLocator", "DepartureDate", "CarrierCode", "FlightNumber", "Route", "FareClassOfService",
         "BookingStatus", "CreatedDate", *[f"{a}_c" for a in amounts],
@@ -164,7 +164,7 @@ def route_performance(t: Tables, now: datetime, spec: CompareSpec) -> DataFrame:
     current = stage(snapshot_passengers(priced, snaps[""]), f"compare-{spec.name}-passengers")
     # All snapshots meet the extras of the current passengers.
     ancillary = ancillary_by_flight(
-        fee_amounts(current, t, None, True), t, (("", spec.currency, spec.mode),)
+        fee_amounts(current, t, None, True), t, (("", spec.currency, spec.mode),), once=True
     )
     ancillary = stage(ancillary, f"compare-{spec.name}-extras")
     inventory = stage(cabin_inventory(t, spans.departs_all), f"compare-{spec.name}-inventory")

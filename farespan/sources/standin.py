@@ -93,7 +93,7 @@ STANDINS: dict[str, str] = {
         SELECT o_orderkey * 2 + k AS PassengerID, o_orderkey AS BookingID,
           concat(' F', CAST(o_custkey AS STRING), ' ') AS FirstName,
           CASE WHEN o_custkey % 10 = 0 THEN 'TBA' ELSE concat('L', CAST(k AS STRING)) END AS LastName,
-          DATE '1935-01-01' + CAST(o_custkey % 24000 AS INT) AS DOB,
+          CASE WHEN o_custkey % 50 <> 7 THEN DATE '1885-01-01' + CAST(o_custkey % 39000 * 5197 % 39000 AS INT) END AS DOB,
           {_country('(o_custkey + k) % 25')} AS Nationality, CAST(k + 1 AS INT) AS Gender
         FROM @orders @fan(2)""",
     "booking_contact": f"""
@@ -176,7 +176,7 @@ STANDINS: dict[str, str] = {
         SELECT {_pick(FEES, 'r_regionkey', 4)} AS FeeCode, concat('Fee ', r_name) AS Name FROM @region""",
     "fx_history": """
         SELECT FromCurrencyCode, ToCurrencyCode, d AS ConversionDate,
-          CAST(CASE (day(d) + f + t) % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 4 ELSE 8 END AS DECIMAL(9,4)) AS ConversionRate
+          CAST(CASE (day(d) + f + 2 * t) % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 4 ELSE 8 END AS DECIMAL(9,4)) AS ConversionRate
         FROM (SELECT d, CAST(k % 8 AS INT) AS f, CAST((k - k % 8) / 8 AS INT) AS t,
                 substring('MYRTHBIDRPHPINRUSDJPYCNY', CAST(k % 8 AS INT) * 3 + 1, 3) AS FromCurrencyCode,
                 substring('MYRTHBIDRPHPINRUSDJPYCNY', CAST((k - k % 8) / 8 AS INT) * 3 + 1, 3) AS ToCurrencyCode
@@ -276,15 +276,13 @@ _derived: dict[tuple[str, str, str], str] = {}
 
 
 def driver_view(spark: SparkSession, sf_dir: str, name: str, prefix: str) -> None:
-    """Make a driver table a view, spread out where it has fewer files than there are cores.
+    """Make a driver table a view; the two large ones are spread on a key.
 
-    The driver writes one file per table, which one task would read; a table in many
-    files is left as it is.
+    The number of parts is left to ``spark.sql.shuffle.partitions`` and adaptive execution.
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD and len(df.inputFiles()) < cores:
-        df = df.repartition(cores, SPREAD[name])
+    if name in SPREAD:
+        df = df.repartition(SPREAD[name])
     df.createOrReplaceTempView(f"{prefix}{name}")
 
 

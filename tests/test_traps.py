@@ -14,6 +14,7 @@ from farespan.operators import passengers as px
 from farespan.plans import channels, year_on_year
 from farespan.plans.routes import fare_parts
 from farespan.sources import sinks
+from farespan.sources.standin import airline
 from farespan.sources.tables import Tables, as_of, normalise
 
 FX = "FromCurrencyCode string, ToCurrencyCode string, ConversionDate date, ConversionRate decimal(9,4)"
@@ -44,6 +45,24 @@ def test_smallest_of_several_hubs_and_reversed_market(spark):
     assert rows(cap.assign_hub(flights, hubs, "p"), "Hub") == [("AA",)]
 
 
+def test_repeated_rate_rows_count_once_where_asked(spark):
+    df = spark.createDataFrame([("THB", D("8.0000"), DAY)], "cur string, v decimal(18,4), d date")
+    twice = fx(spark).unionAll(fx(spark))
+    for once, n in ((True, 1), (False, 2)):
+        out = m.convert(df, twice, ["v"], home="MYR", charged="cur", on="d", mode="local", suffix="C", once=once)
+        assert [float(r[0]) for r in rows(out, "vC")] == [2.0] * n
+
+
+def test_stand_in_rates_differ_by_direction_and_ages_spread(spark):
+    t = airline(spark, "/root/testdata/sf0.001")
+    x, y = t["fx_history"].alias("x"), t["fx_history"].alias("y")
+    same = (F.col("x.FromCurrencyCode") == F.col("y.ToCurrencyCode")) & (F.col("x.ToCurrencyCode") == F.col("y.FromCurrencyCode")) & (F.col("x.ConversionDate") == F.col("y.ConversionDate"))
+    differ, n = x.join(y, same).agg(F.sum((F.col("x.ConversionRate") != F.col("y.ConversionRate")).cast("int")), F.count("*")).first()
+    assert differ > n / 2
+    born = t["booking_passenger"].agg(F.min(F.year("DOB")), F.max(F.year("DOB")), F.sum(F.col("DOB").isNull().cast("int"))).first()
+    assert born[0] < 1900 and born[1] > 1980 and born[2] > 0
+
+
 def test_missing_rate_by_mode(spark):
     data = [("A", "THB", D("8.0000"), DAY), ("B", "USD", D("8.0000"), DAY), ("C", "MYR", D("8.0000"), DAY)]
     df = spark.createDataFrame(data, "id string, cur string, v decimal(18,4), d date")
