@@ -187,6 +187,23 @@ def test_lines_keep_one_of_each_component(spark, corpus):
     assert at[70, 1] == at[70, 3]
 
 
+def test_lines_that_repeat_few_shingles_and_exact_links(spark):
+    texts = ["ab" * 500, "ab" * 600, "xy" * 500, "-" * 900, "-" * 90, "wör" * 3, "a", "b", prose(5, 60), prose(5, 60) + " tail of it", prose(5, 60)[: 300] + prose(6, 30)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: r.component_id for r in lines.dedup(docs).collect()}
+    assert got[0] == got[1] and got[3] == got[4] and len({got[i] for i in (0, 2, 3, 5, 6, 7)}) == 6
+
+    def grams(t):
+        b = t.encode()
+        return {b[i : i + 8] for i in range(max(1, len(b) - 7))}
+
+    ids = {r.line: r.id for r in spark.createDataFrame([(t,) for t in texts], "line string").selectExpr("line", "xxhash64(line) id").collect()}
+    pairs = [(x, y) for i, x in enumerate(texts) for y in texts[:i]]
+    linked = lines._linked(spark.createDataFrame([(ids[x], ids[y]) for x, y in pairs], "a long, b long"), lines._lines(docs)).collect()
+    want = {(ids[x], ids[y]) for x, y in pairs if len(grams(x) & grams(y)) >= 0.8 * len(grams(x) | grams(y))}
+    assert {(r.a, r.b) for r in linked} == want and len(want) == len(linked) >= 3
+
+
 def test_licenses_are_found(spark, docs):
     extra = spark.createDataFrame([(80, "some text here\nLicensed under the Apache License, Version 2.0.", "en", "a", 1), (81, "Released under the MIT License.", "en", "a", 1), (82, "he has a license to drive the old red tractor home", "en", "a", 1), (83, "This work is licensed under the GNU General Public License, version 3.", "en", "a", 1)], SCHEMA)
     got = {r.doc_id: (r.family, r.confirmed) for r in licenses.scan(docs.unionByName(extra)).collect()}
