@@ -68,7 +68,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     x, y = F.col(a), F.col(b)
     now = stage(edges.select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).filter("u != v").distinct(), "edges")
-    mark = None
+    state = (F.count("*"), F.bit_xor(F.xxhash64("u", "v")))
+    mark = tuple(now.agg(*state).first())
     while True:
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -76,12 +77,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").filter("u != v").distinct()
         then = stage(small, "edges")
-        new = then.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+        new = tuple(then.agg(*state).first())
         drop_staged(now)
         now = then
-        if tuple(new) == mark:
+        if new == mark:
             break
-        mark = tuple(new)
+        mark = new
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 

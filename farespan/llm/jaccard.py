@@ -39,6 +39,7 @@ HINT_ROWS = 8  # seen in at least so many documents
 GROUP = 4000  # sets in a signature tree
 LEAF, FAN = 8, 8
 DOUBTS = 8  # pairs in doubt tested for each set in the first round
+EDGES = 1 << 16  # links that a task contracts at once
 FLUSH = 2 << 20  # hashes that a task gathers before it hands them on
 
 
@@ -399,18 +400,52 @@ def link_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     name = F.xxhash64("leader", F.lit(0), "chunk")
     inside = grid.select(name.alias("cell"), F.lit(0).alias("side"), "sid")
     heads = grid.filter("parts > 1").groupBy("leader", "chunk").agg(F.min("sid").alias("sid")).select(F.xxhash64("leader", F.lit(1)).alias("cell"), F.lit(0).alias("side"), "sid")
-    tested = rounds(inside.unionByName(heads), None, classes, docs)
+    tested, roots = rounds(inside.unionByName(heads), None, None, classes, docs)
     large = grid.filter("parts > 1")
     if not large.isEmpty():
-        tested = rounds(across(large, roots_of(tested)), tested, classes, docs)
-    roots = roots_of(tested)
+        tested, roots = rounds(across(large, roots), tested, roots, classes, docs)
     named = thin.join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return sets.select("doc_id", "sid", "n"), stage(named.join(least, "root").select("sid", "rows", "component_id"), "jaccard-components")
 
 
-def roots_of(tested: DataFrame) -> DataFrame:
-    return components(tested.filter("linked"))
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, least node) of the components within each run of EDGES links."""
+
+    def flush(parent: dict) -> pa.RecordBatch:
+        nodes = [x for x in parent if parent[x] != x]
+        return pa.RecordBatch.from_pydict({"a": pa.array(nodes, pa.int64()), "b": pa.array([find(parent, x) for x in nodes], pa.int64())})
+
+    def find(parent: dict, x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    parent, held = {}, 0
+    for batch in batches:
+        for x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            parent.setdefault(x, x)
+            parent.setdefault(y, y)
+            x, y = find(parent, x), find(parent, y)
+            parent[max(x, y)] = min(x, y)
+        held += batch.num_rows
+        if held > EDGES:
+            yield flush(parent)
+            parent, held = {}, 0
+    yield flush(parent)
+
+
+def roots_of(links: DataFrame, known: DataFrame | None) -> DataFrame:
+    """node, root of the components of new links and those known before.
+
+    Runs of links are contracted to stars first, then stars meet in distributed union-find.
+    """
+    edges = links.select("a", "b")
+    if known is not None:
+        edges = edges.unionByName(known.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    parts = edges.count() // EDGES + 1
+    return components(edges.repartition(parts).mapInArrow(_forest, "a long, b long"))
 
 
 def across(large: DataFrame, roots: DataFrame) -> DataFrame:
@@ -425,20 +460,24 @@ def across(large: DataFrame, roots: DataFrame) -> DataFrame:
     return sides.join(large.select("leader", "chunk", "sid"), ["leader", "chunk"]).select(F.xxhash64("leader", F.lit(2), "c", "d").alias("cell"), "side", "sid")
 
 
-def rounds(cells: DataFrame, tested: DataFrame | None, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def rounds(cells: DataFrame, tested: DataFrame | None, roots: DataFrame | None, classes: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All pairs tested, with their outcome, until none is held back and no edge that
-    seemed sure was wrong. A round tests DOUBTS times as many pairs in doubt as the last."""
+    seemed sure was wrong; and the components of the links. A round tests DOUBTS times as
+    many pairs in doubt as the last."""
     cells, most = stage(cells, "jaccard-cells"), DOUBTS
     while True:
-        found = candidates(cells, classes, None if tested is None else roots_of(tested), tested, most)
+        found = candidates(cells, classes, roots, tested, most)
         if tested is not None:
             found = found.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         found = stage(found, "jaccard-pairs")
         now = stage(verified(found.filter("a is not null"), classes, docs), "jaccard-tested")
         more = not found.filter("a is null").isEmpty() or not now.filter("sure and not linked").isEmpty()
         tested = now if tested is None else stage(tested.unionByName(now), "jaccard-tested")
+        links = now.filter("linked")
+        if roots is None or not links.isEmpty():
+            roots = roots_of(links, roots)
         if not more:
-            return tested
+            return tested, roots
         most *= DOUBTS
 
 
