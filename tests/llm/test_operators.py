@@ -204,6 +204,28 @@ def test_lines_that_repeat_few_shingles_and_exact_links(spark):
     assert {(r.a, r.b) for r in linked} == want and len(want) == len(linked) >= 3
 
 
+@pytest.mark.parametrize("block", [4000, 7])
+def test_lines_that_share_a_frame_meet_all_their_near_copies(spark, monkeypatch, block):
+    frame, texts = prose(400, 16), []
+    for i in range(60):
+        own = prose(500 + i, 20)
+        texts += [f"{frame} {own}", f"{frame} {own} end"]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], SCHEMA)
+    monkeypatch.setattr(lines, "BLOCK", block)
+    got = defaultdict(set)
+    for r in lines.dedup(docs).collect():
+        got[r.component_id].add(r.doc_id)
+    sets, up = [{t[i : i + 8] for i in range(len(t) - 7)} for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                up = [up[j] if x == up[i] else x for x in up]
+    want = defaultdict(set)
+    for i, x in enumerate(up):
+        want[x].add(i)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values())) and len(want) == 60
+
+
 def test_licenses_are_found(spark, docs):
     extra = spark.createDataFrame([(80, "some text here\nLicensed under the Apache License, Version 2.0.", "en", "a", 1), (81, "Released under the MIT License.", "en", "a", 1), (82, "he has a license to drive the old red tractor home", "en", "a", 1), (83, "This work is licensed under the GNU General Public License, version 3.", "en", "a", 1)], SCHEMA)
     got = {r.doc_id: (r.family, r.confirmed) for r in licenses.scan(docs.unionByName(extra)).collect()}
