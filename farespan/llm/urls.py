@@ -6,9 +6,10 @@ of allowed and one of blocked URLs. A next character has the probability
 
     p_k = (n(context, c) + ALPHA * p_{k-1}) / (n(context) + ALPHA)
 
-for contexts of k = 0 .. ORDER characters, so a longer context counts as far as it has been
-seen. Counts are kept in hashed tables of fixed size, which makes the model's size a
-parameter. A URL's score is the difference of the two log-likelihoods per character; the
+for contexts of k = 0 .. ORDER characters (bytes), so a longer context counts as far as it has
+been seen. A context of ORDER characters and the next one fit in a 64-bit key, so counts are
+exact; they stay a DataFrame that grows with the input. Each distinct key gets its gain in
+log-likelihood once, then addresses meet the gains of their keys. A URL's score is the difference of the two log-likelihoods per character; the
 threshold is where the fifth held out is told apart best.
 """
 
@@ -22,10 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farespan.llm import arrays as A
-from farespan.llm.common import stage
+from farespan.llm.common import hot_join, stage
 
 ORDER = 5
-SLOTS = 1 << 16  # of each count table
+UNIT = 1e9  # gains are summed as whole numbers of 1 / UNIT, so that no order of rows matters
 ALPHA = 2.0
 BINS, WIDTH = 2001, 0.01  # score histogram for the threshold
 HELD_OUT = 5
@@ -53,90 +54,82 @@ def matched(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
-def _events(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each order: slots of the contexts and of the contexts with the next character.
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each character of each address: the last ORDER + 1 bytes up to it as one number.
 
     Each text stands behind ORDER start marks and ends with an end mark."""
-    flat, offsets = A.raw(texts)
-    n, size = len(offsets) - 1, np.diff(offsets)
-    at = offsets[:-1] + np.arange(n) * (ORDER + 1)
-    padded = np.full(len(flat) + n * (ORDER + 1), 2, dtype=A.U)
-    owner = np.repeat(np.arange(n), size)
-    padded[np.arange(len(flat)) + (owner + 1) * ORDER + owner] = flat
-    padded[at + ORDER + size] = 3
-    chars = np.ones(len(padded), dtype=bool)
-    for j in range(ORDER):
-        chars[at + j] = False
-    i = np.flatnonzero(chars)
-    context = np.zeros(len(i), dtype=A.U)
-    for k in range(ORDER + 1):
-        if k:
-            context = context * A.BASE + padded[i - k] + A.U(1)
-        c = A.mix(context + A.U((k + 1) * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF))
-        both = A.mix(c ^ (padded[i] * A.BASE))
-        yield k, (c >> A.U(20)).astype(np.int64) % SLOTS, (both >> A.U(20)).astype(np.int64) % SLOTS
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros((2, 2, SLOTS), dtype=np.int64)
     for batch in batches:
-        for part in A.pieces(batch, "address", 1 << 20):
-            label = part.column("label").to_numpy(zero_copy_only=False).astype(np.int64)
-            for y in (0, 1):
-                texts = part.column("address").filter(pa.array(label == y))
-                if len(texts):
-                    for _, c, b in _events(texts):
-                        total[y, 0] += np.bincount(c, minlength=SLOTS)
-                        total[y, 1] += np.bincount(b, minlength=SLOTS)
-    y, kind, slot = np.nonzero(total)
-    yield pa.RecordBatch.from_pydict({"slot": ((y * 2 + kind) * SLOTS + slot).astype(np.int64), "n": total[y, kind, slot]})
-
-
-def _score(texts: pa.Array, model: np.ndarray) -> np.ndarray:
-    size = np.diff(A.raw(texts)[1]) + 1
-    p = None
-    for _, c, b in _events(texts):
-        if p is None:
-            p = [np.full(len(c), 1 / 256), np.full(len(c), 1 / 256)]
-        for y in (0, 1):
-            p[y] = (model[y, 1][b] + ALPHA * p[y]) / (model[y, 0][c] + ALPHA)
-    gain = np.add.reduceat(np.log(p[1]) - np.log(p[0]), np.r_[0, np.cumsum(size)[:-1]])
-    return gain / size
-
-
-def train(labelled: DataFrame) -> tuple[np.ndarray, float] | None:
-    """Model and threshold from ``address, label`` (1 allowed, 0 blocked); None if a class is empty.
-
-    At most 4 * SLOTS counts reach the driver, however many rows there are."""
-    labelled = labelled.withColumn("_fold", F.pmod(F.xxhash64("address"), F.lit(HELD_OUT)))
-    rows = labelled.filter("_fold > 0").mapInArrow(_counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
-    model = np.zeros(4 * SLOTS, dtype=np.float64)
-    model[rows["slot"].to_numpy(np.int64)] = rows["n"].to_numpy(np.float64)
-    model = model.reshape(2, 2, SLOTS)
-    if not model[0].any() or not model[1].any():
-        return None
-
-    def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros((2, BINS), dtype=np.int64)
-        for batch in batches:
-            for part in A.pieces(batch, "address", 1 << 20):
-                bins = np.clip(np.rint(_score(part.column("address"), model) / WIDTH), -(BINS // 2), BINS // 2).astype(np.int64) + BINS // 2
-                np.add.at(seen, (part.column("label").to_numpy(zero_copy_only=False).astype(np.int64), bins), 1)
-        y, b = np.nonzero(seen)
-        yield pa.RecordBatch.from_pydict({"label": y, "bin": b, "n": seen[y, b]})
-
-    held = labelled.filter("_fold = 0").mapInArrow(histogram, "label long, bin long, n long").groupBy("label", "bin").agg(F.sum("n").alias("n")).collect()
+        for part in A.pieces(batch, "address", 1 << 18):
+            flat, offsets = A.raw(part.column("address"))
+            n, size = len(offsets) - 1, np.diff(offsets)
+            at = offsets[:-1] + np.arange(n) * (ORDER + 1)
+            padded = np.full(len(flat) + n * (ORDER + 1), 2, dtype=np.int64)
+            owner = np.repeat(np.arange(n), size)
+            padded[np.arange(len(flat)) + (owner + 1) * ORDER + owner] = flat
+            padded[at + ORDER + size] = 3
+            chars = np.ones(len(padded), dtype=bool)
+            for j in range(ORDER):
+                chars[at + j] = False
+            i = np.flatnonzero(chars)
+            gram = sum(padded[i - k] << (8 * k) for k in range(ORDER + 1))
+            of = pa.array(np.repeat(np.arange(n), size + 1))
+            yield pa.RecordBatch.from_arrays([*(part.column(c).take(of) for c in ("id", "n0", "n1")), pa.array(gram)], ["id", "n0", "n1", "gram"])
+
+
+def _gains(grams: DataFrame, total: tuple[int, int]) -> DataFrame:
+    """gram, rows, gain: log-likelihood as allowed less that as blocked, in 1 / UNIT."""
+    out = grams
+    p = [F.lit(1 / 256), F.lit(1 / 256)]
+    for k in range(ORDER + 1):
+        tables = {"c": (F.shiftright("gram", 8).bitwiseAND((1 << 8 * k) - 1), k), "b": (F.col("gram").bitwiseAND((1 << 8 * (k + 1)) - 1), k + 1)}
+        seen = {}
+        for kind, (key, size) in tables.items():
+            if size == 0:
+                seen[kind] = [F.lit(float(n)) for n in total]
+            elif size == ORDER + 1:
+                seen[kind] = [F.col("n0"), F.col("n1")]
+            else:
+                name = f"_{kind}{k}"
+                counts = grams.groupBy(key.alias(name)).agg(F.sum("n0").alias(f"{name}_0"), F.sum("n1").alias(f"{name}_1"))
+                # Two bytes or fewer have at most 65,536 values.
+                out = out.withColumn(name, key).join(F.broadcast(counts) if size <= 2 else counts, name).drop(name)
+                seen[kind] = [F.col(f"{name}_0"), F.col(f"{name}_1")]
+        out = out.withColumns({f"_p{k}_{y}": (seen["b"][y] + F.lit(ALPHA) * p[y]) / (seen["c"][y] + F.lit(ALPHA)) for y in (0, 1)})
+        p = [F.col(f"_p{k}_0"), F.col(f"_p{k}_1")]
+    return out.select("gram", "rows", F.rint((F.log(p[1]) - F.log(p[0])) * UNIT).cast("long").alias("gain"))
+
+
+def _threshold(held: DataFrame) -> float:
+    """Threshold that tells ``label`` apart best by ``score``; at most 2 * BINS rows reach the driver."""
+    half = BINS // 2
+    bins = F.greatest(F.least(F.rint(F.col("score") / WIDTH), F.lit(float(half))), F.lit(-float(half))).cast("int") + half
     seen = np.zeros((2, BINS))
-    for y, b, n in held:
+    for y, b, n in held.groupBy("label", bins.alias("bin")).agg(F.count("*").alias("n")).collect():
         seen[y, b] = n
     share = seen / np.maximum(seen.sum(axis=1, keepdims=True), 1)
     # Youden's index of the threshold below each bin; of equals, the one nearest to zero.
     gain = np.r_[0, np.cumsum(share[0] - share[1])]
     best = np.flatnonzero(gain >= gain.max() - 1e-12)
-    edge = best[np.argmin(np.abs(best - BINS // 2))]
-    return model, float((edge - BINS // 2) * WIDTH - WIDTH / 2)
-
-
+    edge = best[np.argmin(np.abs(best - half))]
+    return float((edge - half) * WIDTH - WIDTH / 2)
+
+
+def scored(rows: DataFrame) -> DataFrame | None:
+    """``rows`` with a ``score``, by the model of their ``address, label`` (1 allowed, 0 blocked,
+    null for no rule); None if a class has no row to count. ``rows`` are read several times."""
+    rows = rows.withColumn("_id", F.xxhash64("address"))
+    seen = F.pmod("_id", F.lit(HELD_OUT)) > 0
+    addresses = rows.groupBy("address", F.col("_id").alias("id")).agg(*[F.sum(F.when(seen & (F.col("label") == y), 1).otherwise(0)).alias(f"n{y}") for y in (0, 1)])
+    places = stage(addresses.mapInArrow(_grams, "id long, n0 long, n1 long, gram long"), "url-places")
+    grams = stage(places.groupBy("gram").agg(F.count("*").alias("rows"), F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "url-grams")
+    n0, n1, total = grams.agg(F.sum("n0"), F.sum("n1"), F.sum("rows")).first()
+    if not n0 or not n1:
+        return None
+    gains = stage(_gains(grams, (n0, n1)), "url-gains")
+    sums = hot_join(places.select("id", "gram"), gains, "gram", "rows", total).groupBy("id").agg((F.sum("gain") / F.count("*") / UNIT).alias("score"))
+    copies = rows.groupBy(F.col("_id").alias("id")).agg(F.count("*").alias("_copies"))
+    sums = stage(sums.join(copies, "id").withColumnRenamed("id", "_id"), "url-scores")
+    return hot_join(rows, sums, "_id", "_copies", rows.count()).drop("_id", "_copies")
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -151,19 +144,11 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     rule, verdict = matched(host, path, rules)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of("url").alias("host"), path_of("url").alias("path"))
     rows = stage(rows.select("*", rule.alias("rule"), verdict.alias("_rule_verdict"), F.concat(host, F.lower(path)).alias("address")), "url-rows")
-    labelled = rows.filter("_rule_verdict is not null").select("address", (F.col("_rule_verdict") == "allow").cast("int").alias("label"))
-    fitted = train(labelled)
+    rows = rows.withColumn("label", (F.col("_rule_verdict") == "allow").cast("int"))
+    out = scored(rows)
     columns = ["page_id", "host", "path", "rule"]
-    if fitted is None:
+    if out is None:
         return rows.select(*columns, F.coalesce("_rule_verdict", F.lit("allow")).alias("verdict"), F.lit(None).cast("double").alias("score"))
-    model, threshold = fitted
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in A.pieces(batch, "address", 1 << 20):
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in (*columns, "_rule_verdict")] + [pa.array(_score(part.column("address"), model))], [*columns, "_rule_verdict", "score"]
-                )
-
-    out = rows.mapInArrow(scored, "page_id long, host string, path string, rule string, _rule_verdict string, score double")
+    out = stage(out, "url-scored")
+    threshold = _threshold(out.filter(F.col("label").isNotNull() & (F.pmod(F.xxhash64("address"), F.lit(HELD_OUT)) == 0)))
     return out.select(*columns, F.coalesce("_rule_verdict", F.when(F.col("score") >= threshold, "allow").otherwise("block")).alias("verdict"), "score")

@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, with nulls, empty texts, copies and ties."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -255,6 +256,34 @@ def test_url_rules_and_model(spark):
     assert [got[i].verdict for i in range(4)] == ["block", "allow", "block", "allow"]
 
 
+def test_url_scores_are_those_of_exact_counts(spark):
+    texts = [f"http://w{i}.example.net/en/{prose(i, 6).replace(' ', '-')}" for i in range(150)] + [f"http://casino{i}.net/{prose(900 + i, 6).replace(' ', '/')}" for i in range(150)]
+    texts += ["http://x.com/" + prose(i, 3).replace(" ", "ü") for i in range(20)] + [None, None, texts[0]]
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id long, url string")
+    out = urls.judge(pages).withColumn("address", F.concat("host", F.lower("path"))).withColumn("fold", F.pmod(F.xxhash64("address"), F.lit(5))).collect()
+    n = [Counter(), Counter()]
+
+    def events(address):
+        b = b"\2" * 5 + address.encode() + b"\3"
+        return [[(b[i - k : i], b[i]) for k in range(6)] for i in range(5, len(b))]
+
+    for r in out:
+        if r.rule and r.fold:
+            for place in events(r.address):
+                for context, c in place:
+                    n[r.rule.startswith("example")][context, c] += 1
+                    n[r.rule.startswith("example")][context] += 1
+    for r in out:
+        total = 0
+        for place in events(r.address):
+            p = [1 / 256, 1 / 256]
+            for context, c in place:
+                p = [(n[y][context, c] + 2 * p[y]) / (n[y][context] + 2) for y in (0, 1)]
+            total += math.log(p[1] / p[0])
+        assert r.score == pytest.approx(total / len(events(r.address)), abs=1e-8)
+    assert len(out) == len(texts)
+
+
 def test_empty_tables(spark, empty):
     bench = spark.createDataFrame([], "item_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
