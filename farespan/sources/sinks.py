@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,21 +66,103 @@ def staging_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
+# ---------------------------------------------------------------- staged frames and their owners
+
+#: Folders staged by the innermost scope that is open; those outside any scope last until the process ends.
+_owned: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("owned", default=None)
+_loose: list[tuple[SparkSession, str]] = []
+
+
+def _owner() -> list[tuple[SparkSession, str]]:
+    held = _owned.get()
+    return _loose if held is None else held
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@atexit.register
+def drop_loose() -> None:
+    """Delete what was staged outside any scope, or outlived one as part of a result."""
+    while _loose:
+        with suppress(Exception):  # the session may be gone
+            _delete(*_loose.pop())
+
+
+@contextmanager
+def staging_scope() -> Iterator[None]:
+    """Owns what is staged inside; deletes it at the end, also after a failure.
+
+    Run the action inside: a frame that reads staged folders is of no use afterwards.
+    """
+    held: list[tuple[SparkSession, str]] = []
+    token = _owned.set(held)
+    try:
+        yield
+    finally:
+        _owned.reset(token)
+        for each in held:
+            _delete(*each)
+
+
+def _read_by(result: object) -> set[str]:
+    """Staged folders that a frame, or one of several, reads."""
+    frames = result if isinstance(result, (tuple, list)) else [result]
+    files = (f for df in frames if isinstance(df, DataFrame) for f in df.inputFiles())
+    return {m[0] for f in files if (m := re.search(r"[^/]+(?=/[^/]+$)", f))}
+
+
+def scoped(f: Callable) -> Callable:
+    """A function whose staged frames are deleted when it returns or fails, but for those its
+    result reads: these pass to the scope around it."""
+
+    @wraps(f)
+    def run(*args, **kwargs):
+        held: list[tuple[SparkSession, str]] = []
+        token, result = _owned.set(held), None
+        try:
+            result = f(*args, **kwargs)
+        finally:
+            _owned.reset(token)
+            wanted = _read_by(result) if held and result is not None else set()
+            for spark, folder in held:
+                if folder.rpartition("/")[2] in wanted:
+                    _owner().append((spark, folder))
+                else:
+                    _delete(spark, folder)
+        return result
+
+    return run
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate that several branches read, and read it back.
 
     The copy lives on shared storage, so a lost executor costs no upstream work,
-    and each branch reads only the columns it needs.
+    and each branch reads only the columns it needs. The scope around it owns the copy.
     """
     spark = df.sparkSession
     path = f"{staging_dir(spark)}/farespan-stage/{name}-{uuid.uuid4().hex}"
+    _owner().append((spark, path))
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_staged(df: DataFrame) -> None:
-    """Delete a staged intermediate once its readers are done."""
-    spark = df.sparkSession
-    for file in df.inputFiles()[:1]:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    """Delete a staged intermediate before its scope ends, once its readers are done."""
+    wanted = _read_by(df)
+    held = _owner()
+    for each in [x for x in held if x[1].rpartition("/")[2] in wanted]:
+        _delete(*each)
+        held.remove(each)
+
+
+def publish(df: DataFrame, path: str | None, name: str) -> DataFrame:
+    """A step that is a result table as well: saved under ``path`` and read back for the steps
+    after it, so it is computed once. Without a path it is staged."""
+    if path is None:
+        return stage(df, name)
+    save(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
