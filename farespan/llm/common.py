@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from farespan.sources.sinks import drop_staged, stage
+from farespan.sources.sinks import drop_staged, scoped, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 HOT_KEYS = 1000  # a key is hot if it has more than 1/HOT_KEYS of the rows: fewer than HOT_KEYS are

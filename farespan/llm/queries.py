@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from farespan.llm import bayes, decontaminate, jaccard, licenses, lines, mixing, quality, sharding, substrings, urls
+from farespan.llm import bayes, bpe, decontaminate, jaccard, licenses, lines, mixing, quality, sharding, substrings, urls, variants, whitening
 from farespan.llm.common import read
 
 
@@ -48,11 +49,23 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read(spark, sf_dir, "pages"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(read(spark, sf_dir, "documents"))
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_decontaminate, op3_shards, op4_jaccard_join, op5_substrings, op6_mix,
-        op7_license_scan, op8_quality_rules, op9_quality_classifier, op10_url_filter,
+        op7_license_scan, op8_quality_rules, op9_quality_classifier, op10_url_filter, op11_spelling_variants, op12_byte_bpe, op13_whitening,
     )
 }
 SQL: dict[str, str] = {}
