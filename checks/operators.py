@@ -301,7 +301,7 @@ def passenger_fact(t: Tables) -> DataFrame:
 FROM pax p JOIN fees f ON f.PassengerID = p.PassengerID AND f.FeeLeg = p.InventoryLegID AND f.FeeLeg <> 0 GROUP BY ALL""")
 def leg_fees(t: Tables) -> DataFrame:
     fact = px.passenger_fact(t, px.bookings(t, None, None), px.remap_carrier(t["inventory_leg"], t["carrier_mapping"]))
-    rows = px.leg_fees(fact, px.fee_lines(t))
+    rows = px.passenger_fees(fact, px.fee_lines(t)).where(~F.col("Loose"))
     return rows.groupBy("CarrierCode", "FeeCode", "ChargeType").agg(F.count("*").alias("n"), m.money(F.sum("ChargeAmount")).alias("amount"))
 
 
@@ -309,7 +309,7 @@ def leg_fees(t: Tables) -> DataFrame:
 FROM pax p JOIN fees f ON f.PassengerID = p.PassengerID AND f.FeeLeg = 0 AND p.JourneyNumber = 1 AND p.SegmentNumber = 1 GROUP BY ALL""")
 def booking_fees(t: Tables) -> DataFrame:
     fact = px.passenger_fact(t, px.bookings(t, None, None), px.remap_carrier(t["inventory_leg"], t["carrier_mapping"]))
-    rows = px.booking_fees(fact, px.fee_lines(t))
+    rows = px.passenger_fees(fact, px.fee_lines(t)).where("Loose")
     return rows.groupBy("CarrierCode", "FeeCode", "ChargeType").agg(F.count("*").alias("n"), m.money(F.sum("ChargeAmount")).alias("amount"))
 
 

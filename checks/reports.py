@@ -34,6 +34,10 @@ def _q(plan):
     return run
 
 
+def _route(spec: routes.RouteSpec, table: str, fanout: str = "safe"):
+    return _q(lambda t: routes.route_revenue(t, NOW, spec, fanout, wanted=(table,))[table])
+
+
 def report_queries() -> dict:
     return {
         "report_daily_management_sales": _q(lambda t: sales.daily_sales(t, NOW, WHOLE)),
@@ -50,15 +54,15 @@ def report_queries() -> dict:
         "report_booking_date_analysis": _q(lambda t: channels.booking_date_analysis(t, NOW, WHOLE)),
         "report_china_market": _q(lambda t: channels.china_market(t, AS_OF, NOW, WHOLE)),
         "report_china_market_months": _q(lambda t: channels.china_months(channels.china_market(t, AS_OF, NOW, WHOLE))),
-        "report_route_revenue_d7": _q(lambda t: routes.route_revenue(t, NOW, routes.ROUTE_D7)["inventory_revenue"]),
-        "report_route_revenue_d7_fare_class": _q(lambda t: routes.route_revenue(t, NOW, routes.ROUTE_D7)["inventory_revenue_fare_class"]),
-        "report_route_revenue_d7_classes": _q(lambda t: routes.route_revenue(t, NOW, routes.ROUTE_D7)["fare_class_revenue"]),
-        "report_route_revenue_d7_passengers": _q(lambda t: routes.route_revenue(t, NOW, routes.ROUTE_D7)["passengers"]),
-        "report_route_revenue_d7_fanout": _q(lambda t: routes.route_revenue(t, NOW, routes.ROUTE_D7, "reference")["passengers"]),
-        "report_route_revenue_xt": _q(lambda t: routes.route_revenue(t, NOW, routes.ROUTE_XT)["inventory_revenue"]),
-        "report_route_revenue_xt_fare_class": _q(lambda t: routes.route_revenue(t, NOW, routes.ROUTE_XT)["inventory_revenue_fare_class"]),
-        "report_route_revenue_xj": _q(lambda t: routes.route_revenue(t, NOW, routes.ROUTE_XJ)["inventory_revenue"]),
-        "report_route_revenue_xj_fare_class": _q(lambda t: routes.route_revenue(t, NOW, routes.ROUTE_XJ)["inventory_revenue_fare_class"]),
+        "report_route_revenue_d7": _route(routes.ROUTE_D7, "inventory_revenue"),
+        "report_route_revenue_d7_fare_class": _route(routes.ROUTE_D7, "inventory_revenue_fare_class"),
+        "report_route_revenue_d7_classes": _route(routes.ROUTE_D7, "fare_class_revenue"),
+        "report_route_revenue_d7_passengers": _route(routes.ROUTE_D7, "passengers"),
+        "report_route_revenue_d7_fanout": _route(routes.ROUTE_D7, "passengers", "reference"),
+        "report_route_revenue_xt": _route(routes.ROUTE_XT, "inventory_revenue"),
+        "report_route_revenue_xt_fare_class": _route(routes.ROUTE_XT, "inventory_revenue_fare_class"),
+        "report_route_revenue_xj": _route(routes.ROUTE_XJ, "inventory_revenue"),
+        "report_route_revenue_xj_fare_class": _route(routes.ROUTE_XJ, "inventory_revenue_fare_class"),
         "report_all_carrier_revenue": _q(lambda t: routes.all_carrier_revenue(t, NOW)["merged"]),
         "report_all_carrier_revenue_by_carrier": _q(lambda t: routes.all_carrier_revenue(t, NOW)["by_carrier"]),
         "report_finance_by_flight": _q(lambda t: routes.finance_by_flight(t, NOW, WHOLE_CLOSED)),

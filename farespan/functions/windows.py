@@ -11,12 +11,13 @@ from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farespan.functions.timefn import ColumnLike, col
 
 MALAYSIA = "Asia/Kuala_Lumpur"
+FILED_MONTH = "FiledMonth"  # partition column, yyyymm, of tables that are filed by month
 
 
 @dataclass(frozen=True)
@@ -50,6 +51,16 @@ class Window:
             out = out & t
         return out
 
+    def of(self, df: DataFrame, c: str) -> DataFrame:
+        """Rows of the window. Of a table filed by the month of ``c`` only its months are read."""
+        out = df.where(self.covers(c))
+        if FILED_MONTH in df.columns:
+            for end, late in ((self.start, False), (self.end, True)):
+                if end is not None:
+                    month = end.year * 100 + end.month
+                    out = out.where(F.col(FILED_MONTH) <= month if late else F.col(FILED_MONTH) >= month)
+        return out
+
 
 def stamp(ts: datetime) -> Column:
     return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")

@@ -194,19 +194,30 @@ def class_availability(legs: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
+GRID_MOST = 500  # booking classes; the grid has two columns for each
+
+
 def grid_classes(class_table: DataFrame) -> list[str]:
-    """Booking classes to pivot on: single letters and the listed two-letter ones.
+    """Booking classes to pivot on: single letters and the listed two-letter ones, in their order.
 
-    The class list is a dimension of a few dozen rows and is read to the driver.
+    The list makes columns, so it is read to the driver before the pivot is planned. A table with
+    more than GRID_MOST of them is no class table and is refused.
     """
     extra = [c for c in fixed.GRID_CLASSES if len(c) > 1]
     code = F.rtrim("ClassOfServiceCode")
-    rows = class_table.where((F.length(code) == 1) | code.isin(extra)).select(code.alias("c")).distinct().orderBy("c").collect()
-    return [r.c for r in rows]
+    wanted = class_table.select(code.alias("c")).where((F.length("c") == 1) | F.col("c").isin(extra)).distinct()
+    found = sorted(r.c for r in wanted.limit(GRID_MOST + 1).collect())
+    if len(found) > GRID_MOST:
+        raise ValueError(f"over {GRID_MOST} booking classes")
+    return found
 
 
-def availability_grid(t: Tables, departs_from: Column, captured: Column, classes: Sequence[str] = fixed.GRID_CLASSES) -> DataFrame:
-    """One row per leg: authorised (``X-AU``) and available (``X``) seats per class."""
+def availability_grid(t: Tables, departs_from: Column, captured: Column, classes: Sequence[str] | None = fixed.GRID_CLASSES) -> DataFrame:
+    """One row per leg: authorised (``X-AU``) and available (``X``) seats per class.
+
+    Without ``classes`` the columns follow the class table.
+    """
+    classes = grid_classes(t["class_of_service"]) if classes is None else classes
     legs = t["inventory_leg"].where((F.col("Status") != 2) & (F.col("DepartureDate") >= departs_from))
     legs = remap_carrier(legs, t["carrier_mapping"])
     pairs = t["city_pair"].select("DepartureStation", "ArrivalStation", "CityPairGroup")

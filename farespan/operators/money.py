@@ -158,6 +158,27 @@ def rates(fx: DataFrame, frm: Sequence[str] | None = None, to: Sequence[str] | N
     )
 
 
+RATE_ROWS = 1 << 20  # rates sent to every task at most; of more, rows meet them by key
+
+
+def everywhere(table: DataFrame) -> DataFrame:
+    """A rate table sent to every task where its counted rows allow it.
+
+    A rate key (two currencies and a day) may have a third of all amounts, so amounts had better stay
+    where they are. The count reads the narrowed history only, once per narrowing.
+    """
+    key = table.semanticHash()
+    if key not in _rate_rows:
+        _rate_rows[key] = table.count()
+    return F.broadcast(table) if _rate_rows[key] <= RATE_ROWS else table
+
+
+_rate_rows: dict[int, int] = {}
+
+#: Home currencies that a report converts into; rates from or to any other can't be asked for.
+HOMES = tuple(sorted({*fixed.HOME_CURRENCY_STRICT.values(), "MYR"}))
+
+
 def with_rate(df: DataFrame, fx: DataFrame, frm: ColumnLike, to: ColumnLike, on: ColumnLike, name: str = "Rate",
               once: bool = False) -> DataFrame:
     """Left join of the rate of (frm, to) on a day; ``frm``/``to`` may be literals.
@@ -169,11 +190,13 @@ def with_rate(df: DataFrame, fx: DataFrame, frm: ColumnLike, to: ColumnLike, on:
         if isinstance(side, str) and side not in df.columns:
             table = table.where(F.col(key) == side)
         else:
+            if isinstance(side, str) and side == "Home":
+                table = table.where(F.col(key).isin(*HOMES))
             test.append(col(side) == F.col(key))
     test.append(col(on) == F.col("_day"))
     if once:
         table = table.distinct()
-    joined = df.join(table, test, "left")
+    joined = df.join(everywhere(table), test, "left")
     return joined.withColumn(name, F.col("_rate")).drop("_from", "_to", "_day", "_rate")
 
 
@@ -184,7 +207,7 @@ def with_rates(df: DataFrame, fx: DataFrame, targets: Sequence[str], to: ColumnL
     wide = table.groupBy("_to", "_day").agg(
         *[F.max(F.when(F.col("_from") == c, F.col("_rate"))).alias(f"{prefix}{c}") for c in targets]
     )
-    return df.join(wide, (col(to) == F.col("_to")) & (col(on) == F.col("_day")), "left").drop("_to", "_day")
+    return df.join(everywhere(wide), (col(to) == F.col("_to")) & (col(on) == F.col("_day")), "left").drop("_to", "_day")
 
 
 def inverse(rate: ColumnLike) -> Column:

@@ -42,7 +42,7 @@ def bookings(t: Tables, window: Window | None, statuses: tuple[int, ...] | None,
     """Bookings of a window.  ``hours`` shifts the stored time before testing it."""
     out = t["booking"]
     if window is not None:
-        out = out.where(window.shift(-hours).covers("BookingDate"))
+        out = window.shift(-hours).of(out, "BookingDate")
     if statuses is not None:
         out = out.where(F.col("Status").isin(list(statuses)))
     return out
@@ -74,47 +74,71 @@ def passenger_fact(t: Tables, booked: DataFrame, legs: DataFrame, leg_columns: t
     )
 
 
-def journey_charges(t: Tables, known_types: bool = True) -> DataFrame:
-    """Segment charges with their signed ``Amount``; of types in the matrix only, by default."""
+def within(rows: DataFrame, people: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a fact whose keys occur in ``people``, a stored frame of a report's window.
+
+    Ids are given out in order, so a window's passengers lie in a narrow range of them: its ends
+    are literals on the scan, where they skip files and row groups. The semi-join then keeps
+    the very keys; it stands below whatever is aggregated, so history outside the window is
+    neither shuffled nor summed.
+    """
+    low, high = people.agg(F.min(keys[0]), F.max(keys[0])).first()
+    if low is None:
+        return rows.where(F.lit(False))
+    return rows.where(F.col(keys[0]).between(low, high)).join(people.select(*keys), list(keys), "left_semi")
+
+
+def journey_charges(t: Tables, known_types: bool = True, of: DataFrame | None = None) -> DataFrame:
+    """Segment charges with their signed ``Amount``; of types in the matrix only, by default.
+
+    ``of``: a stored frame with the PassengerID and SegmentID whose charges are wanted.
+    """
     charges = t["passenger_journey_charge"].select(
         "PassengerID", "SegmentID", "ChargeNumber", "ChargeType", "ChargeCode", "ChargeAmount", "CurrencyCode", "CreatedDate"
     )
+    if of is not None:
+        charges = within(charges, of, "PassengerID", "SegmentID")
     return signed_by_matrix(charges, t["charge_type_matrix"], "inner" if known_types else "left")
 
 
 def segment_sums(charges: DataFrame, measures: dict[str, Column], by_day: bool = True) -> DataFrame:
     """Charge sums per segment, currency and (``by_day``) charge day.
 
-    Charges are added up before they meet the passengers: rows of one segment are
-    stored together, so most of the reduction happens on the map side, and the join
-    that follows moves one narrow row per segment instead of one per charge.
+    Charges bounded by a window are dealt by segment already, so this adds no exchange, and the
+    join that follows moves one narrow row per segment instead of one per charge.
     """
     keys = ["PassengerID", "SegmentID", "CurrencyCode"]
     days = [day("CreatedDate").alias("CreatedDay")] if by_day else []
     return charges.groupBy(*keys, *days).agg(*[e.alias(n) for n, e in measures.items()])
 
 
-def fee_lines(t: Tables) -> DataFrame:
-    """Fees with the charges booked under the fee's own code."""
+def fee_lines(t: Tables, of: DataFrame | None = None) -> DataFrame:
+    """Fees with the charges booked under the fee's own code.
+
+    ``of``: a stored frame with the PassengerID whose fees are wanted.
+    """
     fee = t["passenger_fee"].select("PassengerID", "FeeNumber", F.col("FeeCode"), F.col("InventoryLegID").alias("FeeLegID"))
     charge = t["passenger_fee_charge"].select(
         "PassengerID", "FeeNumber", F.col("ChargeCode").alias("FeeCode"), "ChargeType", "ChargeAmount", "CurrencyCode", "CreatedDate"
     )
+    if of is not None:
+        fee, charge = within(fee, of, "PassengerID"), within(charge, of, "PassengerID")
     return fee.join(charge, ["PassengerID", "FeeNumber", "FeeCode"])
 
 
-def leg_fees(passengers: DataFrame, fees: DataFrame) -> DataFrame:
-    """Fees tied to a flown leg; a passenger without one has no row."""
-    tied = fees.where(F.col("FeeLegID") != 0).withColumnRenamed("FeeLegID", "InventoryLegID")
-    return passengers.join(tied, ["PassengerID", "InventoryLegID"])
+def passenger_fees(passengers: DataFrame, fees: DataFrame, first_segment: bool = True, tied: Column | None = None) -> DataFrame:
+    """Each fee on its segments, in one pass; ``Loose`` tells fees without a leg.
 
-
-def booking_fees(passengers: DataFrame, fees: DataFrame, first_segment: bool = True) -> DataFrame:
-    """Fees tied to no leg, put on the first segment (or on all of journey 1)."""
-    first = passengers.where(F.col("JourneyNumber") == 1)
+    A fee tied to a flown leg (``tied``: its leg is not 0) goes there. A fee tied to none goes
+    to the first segment, or with ``first_segment`` unset to all of journey 1.
+    """
+    loose = F.col("FeeLegID") == 0
+    tied = F.col("FeeLegID") != 0 if tied is None else tied
+    first = F.col("JourneyNumber") == 1
     if first_segment:
-        first = first.where(F.col("SegmentNumber") == 1)
-    return first.join(fees.where(F.col("FeeLegID") == 0).drop("FeeLegID"), "PassengerID")
+        first = first & (F.col("SegmentNumber") == 1)
+    here = (tied & (F.col("FeeLegID") == F.col("InventoryLegID"))) | (loose & first)
+    return passengers.join(fees, "PassengerID").where(here).withColumn("Loose", loose).drop("FeeLegID")
 
 
 def point_of_sale(t: Tables, of_bookings: DataFrame) -> DataFrame:
@@ -148,9 +172,9 @@ def with_country(df: DataFrame, countries: DataFrame, code: str, name: str, how:
     return df.join(side, F.col(code) == F.col(key), how).drop(key)
 
 
-def first_payment(payments: DataFrame) -> DataFrame:
-    """Method of the lowest-numbered payment of each booking; map-side combined."""
-    return payments.groupBy(F.col("ReferenceID").alias("BookingID")).agg(
+def first_payment(payments: DataFrame, of: DataFrame) -> DataFrame:
+    """Method of the lowest-numbered payment of each stored booking; map-side combined."""
+    return within(payments.withColumnRenamed("ReferenceID", "BookingID"), of, "BookingID").groupBy("BookingID").agg(
         F.min_by("PaymentMethodCode", "PaymentID").alias("PaymentMethodCode")
     )
 

@@ -15,7 +15,7 @@ from farespan.functions.windows import Window
 from farespan.operators import channels as ch
 from farespan.operators import money as m
 from farespan.operators import passengers as px
-from farespan.sources.sinks import stage
+from farespan.sources.sinks import scoped, stage
 from farespan.sources.tables import Tables
 from farespan.sources.views import segment_view
 
@@ -87,6 +87,7 @@ def _key_columns(spec: ChannelSpec) -> dict[str, Column]:
     return {k: e for k, e in table.items() if k in spec.keys}
 
 
+@scoped
 def channel_report(t: Tables, window: Window, spec: ChannelSpec) -> DataFrame:
     """Seats, fare and fuel in booking, MYR, home and point-of-sale currency."""
     booked = px.bookings(t, window, (2, 3))
@@ -112,11 +113,12 @@ def channel_report(t: Tables, window: Window, spec: ChannelSpec) -> DataFrame:
         "DepCountry", "ArrCountry",
     ]
     kept += [c for c in ("FlightNumber", "ProductClassCode", "FareClassOfService") if c in fact.columns]
+    fact = stage(fact.select(*kept), "channel-passengers")
     charges = px.segment_sums(
-        px.journey_charges(t),
+        px.journey_charges(t, of=fact),
         {"Fare": m.bucket(m.fare_types(), m.of_code("KLIA2")), "Fuel": m.bucket(m.fuel())}, by_day=False,
     )
-    per_segment = fact.select(*kept).join(charges, ["PassengerID", "SegmentID"])
+    per_segment = fact.join(charges, ["PassengerID", "SegmentID"])
     if spec.collapse:
         # Only a later distinct can tell a repeated segment from one with the sum.
         per_segment = per_segment.groupBy(*kept, "CurrencyCode").agg(F.sum("Fare").alias("Fare"), F.sum("Fuel").alias("Fuel"))
@@ -199,12 +201,12 @@ def _booked_segments(t: Tables, window: Window, segments: DataFrame, columns: li
     return booked.join(people, "BookingID").join(segments.select("PassengerID", "SegmentID", *columns), "PassengerID")
 
 
-def _base_fare(t: Tables, types: tuple[int, ...] | None = (0, 8, 1, 7, 5), extra: list[Column] | None = None) -> DataFrame:
-    """Net fare per segment: types 0 and 8 less 1 and 7."""
-    charges = t["passenger_journey_charge"]
+def _base_fare(t: Tables, of: DataFrame, types: tuple[int, ...] | None = (0, 8, 1, 7, 5)) -> DataFrame:
+    """Net fare of each of the stored segments: types 0 and 8 less 1 and 7."""
+    charges = px.within(t["passenger_journey_charge"], of, "PassengerID", "SegmentID")
     if types:
         charges = charges.where(F.col("ChargeType").isin(list(types)))
-    return charges.groupBy("PassengerID", "SegmentID").agg(F.sum(m.plus_minus()).alias("NetFare"), *(extra or []))
+    return charges.groupBy("PassengerID", "SegmentID").agg(F.sum(m.plus_minus()).alias("NetFare"))
 
 
 def _priced(df: DataFrame, t: Tables, frm: str, amounts: list[str]) -> DataFrame:
@@ -218,6 +220,7 @@ def _seats(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*keys).agg(F.sum("NetFareC").alias("NetFareC"))
 
 
+@scoped
 def older_channel_daily(t: Tables, now: datetime, window: Window | None = None) -> DataFrame:
     """Seats and fare by booking day, route, lead, role, channel and class."""
     window = window or windows.yesterday(windows.to_local(now, windows.MALAYSIA))
@@ -228,7 +231,8 @@ def older_channel_daily(t: Tables, now: datetime, window: Window | None = None)
         t, window, segments,
         ["DepartureStation", "ArrivalStation", "DepartureDate", "JourneyNumber", "CarrierCode", "FareClassOfService"],
     ).withColumn("BookingDate", tf.day("BookedAt"))
-    rows = rows.join(_base_fare(t), ["PassengerID", "SegmentID"], "left")
+    rows = stage(rows, "older-daily-passengers")
+    rows = rows.join(_base_fare(t, rows), ["PassengerID", "SegmentID"], "left")
     rows = _seats(_priced(rows, t, "MYR", ["NetFare"]))
     pairs = t["city_pair"].select(
         "DepartureStation", "ArrivalStation", labels.dom_int("InternationalFlag", "International", "Domestic").alias("DomInt")
@@ -254,6 +258,7 @@ def older_channel_daily(t: Tables, now: datetime, window: Window | None = None)
     ).agg(F.count("PassengerID").alias("SeatSold"), m.money(F.sum("NetFareC")).alias("BaseFare"))
 
 
+@scoped
 def older_channel_monthly(t: Tables, as_of: datetime, window: Window | None = None) -> DataFrame:
     """Seats and fare by booking day, route, lead, role and channel since last month."""
     window = window or windows.month_before_to_date(as_of)
@@ -263,7 +268,8 @@ def older_channel_monthly(t: Tables, as_of: datetime, window: Window | None = No
     rows = _booked_segments(
         t, window, segments, ["DepartureStation", "ArrivalStation", "DepartureDate", "JourneyNumber", "CarrierCode"]
     ).withColumn("BookingDate", tf.day("BookedAt"))
-    rows = _seats(_priced(rows.join(_base_fare(t, None), ["PassengerID", "SegmentID"], "left"), t, "MYR", ["NetFare"]))
+    rows = stage(rows, "older-monthly-passengers")
+    rows = _seats(_priced(rows.join(_base_fare(t, rows, None), ["PassengerID", "SegmentID"], "left"), t, "MYR", ["NetFare"]))
     markets = t["market_group"].select("DepartureStation", "ArrivalStation", "MarketGroup")
     rows = rows.join(markets, ["DepartureStation", "ArrivalStation"], "left")
     rows = ch.sales_channel(ch.with_agent(rows, t), t, existing_only=True, by_channel=True)
@@ -286,6 +292,7 @@ def channel_dimensions(t: Tables) -> dict[str, DataFrame]:
     }
 
 
+@scoped
 def booking_date_analysis(t: Tables, now: datetime, window: Window | None = None) -> DataFrame:
     """Guests, fare, extras and airport tax of one booking day by some 25 attributes."""
     local = windows.to_local(now, windows.MALAYSIA)
@@ -304,23 +311,23 @@ def booking_date_analysis(t: Tables, now: datetime, window: Window | None = None
     provinces = t["booking_contact"].select("BookingID", "ProvinceState").distinct()
     rows = stage(rows.join(provinces, "BookingID", "left"), "analysis-passengers")
 
-    extras = px.fee_lines(t).withColumn("Signed", m.signed_by_list())
-    extras = extras.select("PassengerID", "FeeLegID", "Signed")
-
-    def extra_sum(lines: DataFrame, name: str) -> DataFrame:
-        rated = m.with_rate(lines, t["fx_history"], "MYR", "CurrencyCode", "BookingDate", "_fx").where(F.col("_fx").isNotNull())
-        return rated.groupBy("PassengerID", "SegmentID").agg(F.sum(m.money("Signed") / F.col("_fx")).alias(name))
-
-    tied = extra_sum(px.leg_fees(rows, extras.where(F.col("FeeLegID") > 0)), "Extra1")
-    loose = extra_sum(px.booking_fees(rows, extras, first_segment=False), "Extra2")
-    tax = t["passenger_journey_charge"].where(m.of_type(4, 5)).groupBy("PassengerID", "SegmentID").agg(
-        F.sum(m.signed_by_list()).alias("AirportTax")
+    extras = px.fee_lines(t, rows).withColumn("Signed", m.signed_by_list()).select("PassengerID", "FeeLegID", "Signed")
+    extras = px.passenger_fees(rows, extras, first_segment=False, tied=F.col("FeeLegID") > 0)
+    rated = m.with_rate(extras, t["fx_history"], "MYR", "CurrencyCode", "BookingDate", "_fx").where(F.col("_fx").isNotNull())
+    value = m.money("Signed") / F.col("_fx")
+    extras = rated.groupBy("PassengerID", "SegmentID").agg(
+        F.sum(F.when(~F.col("Loose"), value)).alias("Extra1"), F.sum(F.when(F.col("Loose"), value)).alias("Extra2")
+    )
+    charges = px.within(t["passenger_journey_charge"], rows, "PassengerID", "SegmentID")
+    fare, airport = F.col("ChargeType").isin(0, 8, 1, 7, 5), m.of_type(4, 5)
+    charges = charges.where(fare | airport).groupBy("PassengerID", "SegmentID").agg(
+        F.sum(F.when(fare, m.plus_minus())).alias("NetFare"), F.sum(F.when(airport, m.signed_by_list())).alias("AirportTax")
     )
     keys = ["PassengerID", "SegmentID"]
     out = rows.where(~F.col("Route").isin(list(fixed.CLOSED_ROUTES)))
-    out = out.join(_base_fare(t), keys, "left").join(tax, keys, "left").join(tied, keys, "left").join(loose, keys, "left")
+    out = out.join(charges, keys, "left").join(extras, keys, "left")
     out = _priced(out, t, "MYR", ["NetFare", "AirportTax"])
-    out = out.join(px.first_payment(t["payment"]), "BookingID", "left")
+    out = out.join(px.first_payment(t["payment"], rows), "BookingID", "left")
     out = ch.with_agent(out, t, distinct=True)
     out = ch.sales_channel(out, t, split_location=False, existing_only=True, unknown="UnknownRoleCode")
     ends = ["DepartureStation", "ArrivalStation"]
@@ -347,6 +354,7 @@ def booking_date_analysis(t: Tables, now: datetime, window: Window | None = None
     )
 
 
+@scoped
 def china_market(t: Tables, as_of: datetime, now: datetime, window: Window | None = None) -> DataFrame:
     """Seats, bookings and CNY fare of Chinese, Hong Kong and Macau passengers."""
     window = window or windows.five_months_back(as_of)
@@ -361,7 +369,8 @@ def china_market(t: Tables, as_of: datetime, now: datetime, window: Window | Non
     rows = ch.with_agent(rows, t, distinct=True)
     rows = ch.sales_channel(rows, t, split_location=False, existing_only=True, unknown="UnknownRoleCode")
     rows = px.with_country(rows, t["country"], "Nationality", "NationalityName")
-    rows = _priced(rows.join(_base_fare(t), ["PassengerID", "SegmentID"], "left"), t, "CNY", ["NetFare"])
+    rows = stage(rows, "china-passengers")
+    rows = _priced(rows.join(_base_fare(t, rows), ["PassengerID", "SegmentID"], "left"), t, "CNY", ["NetFare"])
     seat = ["PassengerID", "SegmentID", "RecordLocator", "BookingDate", "DepartureDate", "JourneyNumber", "CreatedAgentID", "CurrencyCode"]
     rows = rows.select(
         *seat, "NetFareC",

@@ -19,7 +19,7 @@ from farespan.functions.windows import Window
 from farespan.operators import capacity as cap
 from farespan.operators import money as m
 from farespan.operators import passengers as px
-from farespan.sources.sinks import stage
+from farespan.sources.sinks import publish, scoped, stage
 from farespan.sources.tables import Tables
 from farespan.sources.views import fee_view, segment_view
 
@@ -80,8 +80,10 @@ ROUTE_XJ = RouteSpec(
 )
 
 
-def _segment_totals(t: Tables, single: dict, summed: dict, by_matrix: bool, fanout: str) -> DataFrame:
+def _segment_totals(t: Tables, of: DataFrame, single: dict, summed: dict, by_matrix: bool, fanout: str) -> DataFrame:
+    """Charge buckets of the stored segments."""
     charges = t["passenger_journey_charge"].select("PassengerID", "SegmentID", "ChargeNumber", "ChargeType", "ChargeCode", "ChargeAmount")
+    charges = px.within(charges, of, "PassengerID", "SegmentID")
     amount = None
     if by_matrix:
         charges = m.signed_by_matrix(charges, t["charge_type_matrix"], "left")
@@ -95,16 +97,17 @@ def _booking_of(df: DataFrame, t: Tables, columns: tuple[str, ...]) -> DataFrame
 
 
 def fee_amounts(passengers: DataFrame, t: Tables, keeps: Column | None, by_matrix: bool) -> DataFrame:
-    """Distinct fee charges of the given passengers, by flight of the fee.
+    """Distinct fee charges of the given, stored passengers, by flight of the fee.
 
     Equal charges of one fee collapse, and fees without a flight are left out.
     """
-    people = passengers.select("PassengerID").distinct()
+    people = passengers.select("PassengerID")
     fees = fee_view(t)
     if keeps is not None:
         fees = fees.where(keeps)
     charge = t["passenger_fee_charge"].select("PassengerID", "FeeNumber", "ChargeType", "ChargeAmount", "CurrencyCode", "CreatedDate")
-    rows = fees.join(people, "PassengerID", "left_semi").join(charge, ["PassengerID", "FeeNumber"], "left")
+    fees, charge = px.within(fees, people, "PassengerID"), px.within(charge, people, "PassengerID")
+    rows = fees.join(charge, ["PassengerID", "FeeNumber"], "left")
     if by_matrix:
         rows = m.signed_by_matrix(rows, t["charge_type_matrix"], "left").withColumn("Amount", F.coalesce("Amount", F.lit(0)))
     else:
@@ -135,12 +138,19 @@ def ancillary_by_flight(fees: DataFrame, t: Tables, currencies: tuple[tuple[str,
     return out.distinct() if collapse else out
 
 
-def route_revenue(t: Tables, now: datetime, spec: RouteSpec, fanout: str = "safe", departs: Window | None = None) -> dict[str, DataFrame]:
+ROUTE_TABLES = ("passengers", "fare_class_revenue", "inventory_revenue", "inventory_revenue_fare_class")
+
+
+@scoped
+def route_revenue(t: Tables, now: datetime, spec: RouteSpec, fanout: str = "safe", departs: Window | None = None,
+                  wanted: tuple[str, ...] = ROUTE_TABLES, publish_to: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """Seats, capacity and revenue by month, flight, route and cabin or fare class.
 
-    Returns the published tables: ``passengers``, ``fare_class_revenue``,
-    ``inventory_revenue`` and ``inventory_revenue_fare_class``.
+    Returns the ``wanted`` ones of :data:`ROUTE_TABLES`; nothing is written that they don't
+    need. The first two are steps on the way to the others: ``publish_to`` gives paths under
+    which they are saved in the middle of the run and read back for the rest of it.
     """
+    publish_to = publish_to or {}
     local = windows.to_local(now, windows.MALAYSIA)
     captured_day = windows.midnight(local) - timedelta(days=1)
     departs = departs or windows.season(local, 2)
@@ -161,8 +171,9 @@ def route_revenue(t: Tables, now: datetime, spec: RouteSpec, fanout: str = "safe
         "FlightNumber", sector("DepartureStation", "ArrivalStation").alias("Route"), "FareClassOfService",
         labels.cabin("FareClassOfService", fixed.PREMIUM_G1).alias("Cabin"), tf.day("CreatedDate").alias("CreatedDay"), "CreatedAgentID",
     )
+    seg = stage(seg, f"route-{spec.name}-segments")
     totals = _segment_totals(
-        t, {"BaseFare": fare_parts()}, {"FuelSurcharge": m.fuel(), **(extra_parts() if spec.extras else {})}, spec.matrix_sign, fanout
+        t, seg, {"BaseFare": fare_parts()}, {"FuelSurcharge": m.fuel(), **(extra_parts() if spec.extras else {})}, spec.matrix_sign, fanout
     )
     classes = t["fare_class"].select(F.col("ClassOfService").alias("FareClassOfService"), "FareClass").distinct()
     base = _booking_of(seg.join(totals, ["PassengerID", "SegmentID"], "left"), t, ("RecordLocator", "CurrencyCode"))
@@ -175,7 +186,10 @@ def route_revenue(t: Tables, now: datetime, spec: RouteSpec, fanout: str = "safe
         "FareClass", "CurrencyCode",
     ]
     passengers = base.groupBy(*who, "CreatedAgentID").agg(*[m.money(F.sum(f"{x}_{tag}")).alias(out) for x, tag, out in names])
-    passengers = stage(passengers, f"route-{spec.name}-passengers")
+    if set(wanted) == {"passengers"} and "passengers" not in publish_to:
+        return {"passengers": passengers.select(*captured_columns, "*")}
+    passengers = publish(passengers.select(*captured_columns, "*"), publish_to.get("passengers"), f"route-{spec.name}-passengers")
+    passengers_out, passengers = passengers, passengers.drop("CapturedDate", "DayOfYear", "DayOfWeek")
 
     fees = fee_amounts(passengers, t, spec.fee_keeps("CarrierCode", "FlightNumber"), spec.matrix_sign)
     if spec.label:
@@ -195,9 +209,7 @@ def route_revenue(t: Tables, now: datetime, spec: RouteSpec, fanout: str = "safe
     )
 
     # Open legs of the same flights, one row per cabin.
-    legs = t["inventory_leg"].where(
-        (F.col("Status") != 2) & (F.col("Lid") > 0) & departs.covers("DepartureDate")
-    )
+    legs = departs.of(t["inventory_leg"], "DepartureDate").where((F.col("Status") != 2) & (F.col("Lid") > 0))
     legs = px.remap_carrier(legs, t["carrier_mapping"]).where(spec.keeps("CarrierCode", "FlightNumber"))
     if spec.label:
         legs = legs.withColumn("CarrierCode", recode("CarrierCode", spec.label))
@@ -216,8 +228,10 @@ def route_revenue(t: Tables, now: datetime, spec: RouteSpec, fanout: str = "safe
     fare_class = fare_class.groupBy(
         "ODPair", *months, "CarrierCode", "FlightNumber", "Route", "FareClassOfService", "FareClass", "Cabin", "CurrencyCode"
     ).agg(F.sum("SeatSold").alias("SeatSold"), *[m.money(F.sum(r)).alias(r) for r in revenue + ancillary])
-    fare_class = stage(fare_class, f"route-{spec.name}-fare-class")
     fare_class_out = fare_class.select(F.lit("hub").alias("Hub"), captured.alias("CapturedDate"), "*")
+    if not set(wanted) <= {"passengers", "fare_class_revenue"} or "fare_class_revenue" in publish_to:
+        fare_class_out = publish(fare_class_out, publish_to.get("fare_class_revenue"), f"route-{spec.name}-fare-class")
+        fare_class = fare_class_out.drop("Hub", "CapturedDate")
 
     month = ["DepartureMonth", "DepartureYear", "FlightNumber"]
     by_cabin = fare_class.groupBy("ODPair", *month, "CarrierCode", "Route", "Cabin").agg(
@@ -262,12 +276,7 @@ def route_revenue(t: Tables, now: datetime, spec: RouteSpec, fanout: str = "safe
         F.col("_route").alias("Route"), "FareClass", "FareClassOfService", "SeatSold", *revenue, *ancillary, "AptCharge",
         F.lit(0).alias("AptEnabled"),
     ).distinct()
-    return {
-        "passengers": passengers.select(*captured_columns, "*"),
-        "fare_class_revenue": fare_class_out,
-        "inventory_revenue": inventory_revenue,
-        "inventory_revenue_fare_class": by_class,
-    }
+    return {n: df for n, df in zip(ROUTE_TABLES, (passengers_out, fare_class_out, inventory_revenue, by_class)) if n in wanted}
 
 
 # ---------------------------------------------------------------- all carriers
@@ -287,6 +296,7 @@ def _not_closed_fd(df: DataFrame) -> DataFrame:
     return df.where(~F.coalesce(closed, F.lit(False)))
 
 
+@scoped
 def all_carrier_revenue(t: Tables, now: datetime, departs: Window | None = None, bounds: str | None = None) -> dict[str, DataFrame]:
     """Seats, lid, capacity and seven revenue buckets in MYR and airline currency.
 
@@ -300,19 +310,19 @@ def all_carrier_revenue(t: Tables, now: datetime, departs: Window | None = None,
         & F.col("CarrierCode").isin(list(fixed.GROUP_CARRIERS))
     )
     seg = px.remap_carrier(seg, t["carrier_mapping"]).where(_open_flight("CarrierCode", "FlightNumber"))
+    seg = stage(seg.select(
+        "PassengerID", "SegmentID", "DepartureDate", "CarrierCode", "FlightNumber", "DepartureStation", "ArrivalStation",
+        "CurrencyCode", tf.day("CreatedDate").alias("CreatedDay"),
+    ), "carriers-segments")
     totals = _segment_totals(
-        t, {},
+        t, seg, {},
         {
             "BaseFare": m.of_type(0, 1, 7), "FuelSurcharge": m.fuel(), "Connecting": m.of_type(8),
             "AptCharges": m.of_code("APF"), **extra_parts(),
         },
         False, "safe",
     )
-    rows = seg.select(
-        "PassengerID", "SegmentID", "DepartureDate", "CarrierCode", "FlightNumber", "DepartureStation", "ArrivalStation",
-        "CurrencyCode", tf.day("CreatedDate").alias("CreatedDay"),
-    ).join(totals, ["PassengerID", "SegmentID"], "left")
-    rows = m.zero_filled(rows, ALL_BUCKETS)
+    rows = m.zero_filled(seg.join(totals, ["PassengerID", "SegmentID"], "left"), ALL_BUCKETS)
 
     # Amounts are summed per flight, currency and charge day before rates are joined.
     flight = ["DepartureDate", "CarrierCode", "FlightNumber", "DepartureStation", "ArrivalStation"]
@@ -328,8 +338,8 @@ def all_carrier_revenue(t: Tables, now: datetime, departs: Window | None = None,
     seats = rows.groupBy(*flight).agg(F.sum("Seats").alias("SeatsSold"), *sums)
     seats = _not_closed_fd(seats.withColumns({c: alias_station(c) for c in ("DepartureStation", "ArrivalStation")}))
 
-    legs = t["inventory_leg"].where(
-        (F.col("Status") != 2) & (F.col("Lid") > 0) & departs.covers("DepartureDate")
+    legs = departs.of(t["inventory_leg"], "DepartureDate").where(
+        (F.col("Status") != 2) & (F.col("Lid") > 0)
         & ((F.col("CreatedDate") <= windows.stamp(today)) | (F.col("ModifiedDate") <= windows.stamp(today)))
     )
     legs = px.remap_carrier(legs, t["carrier_mapping"]).where(_open_flight("CarrierCode", "FlightNumber"))
@@ -358,6 +368,7 @@ def all_carrier_revenue(t: Tables, now: datetime, departs: Window | None = None,
 
 # ---------------------------------------------------------------- finance
 
+@scoped
 def finance_by_flight(t: Tables, now: datetime, departs: Window | None = None) -> DataFrame:
     """Fare and fuel in seven currencies; capacity and distance once per flight."""
     local = windows.to_local(now, windows.MALAYSIA)
@@ -365,11 +376,12 @@ def finance_by_flight(t: Tables, now: datetime, departs: Window | None = None) -
     known = t["carrier"].where((F.col("CarrierType") == "H") & (F.col("CarrierCode") != fixed.FERRY_CARRIER)).select("CarrierCode")
     seg = segment_view(t).where((F.col("BookingStatus") == "HK") & departs.covers("DepartureDate"))
     seg = px.remap_carrier(seg.join(known, "CarrierCode", "left_semi"), t["carrier_mapping"])
-    totals = _segment_totals(t, {}, {"BaseFare": m.of_type(0, 8, 1, 7), "FuelSurcharge": m.fuel()}, True, "safe")
-    rows = seg.select(
+    seg = stage(seg.select(
         "PassengerID", "SegmentID", "DepartureDate", "CarrierCode", "FlightNumber", "InventoryLegID",
         sector("DepartureStation", "ArrivalStation").alias("Route"),
-    ).join(totals, ["PassengerID", "SegmentID"], "left")
+    ), "finance-segments")
+    totals = _segment_totals(t, seg, {}, {"BaseFare": m.of_type(0, 8, 1, 7), "FuelSurcharge": m.fuel()}, True, "safe")
+    rows = seg.join(totals, ["PassengerID", "SegmentID"], "left")
     rows = _booking_of(rows, t, ("BookingDate", "CurrencyCode"))
     flight = ["DepartureDate", "CarrierCode", "FlightNumber", "InventoryLegID", "Route", "CurrencyCode"]
     rows = m.zero_filled(rows, ["BaseFare", "FuelSurcharge"]).groupBy(*flight, tf.day("BookingDate").alias("BookedDay")).agg(
@@ -417,7 +429,7 @@ def _traffic(rows: DataFrame, by_flight: list[str]) -> DataFrame:
 def pax_capacity(t: Tables, now: datetime, departs: Window | None = None) -> DataFrame:
     """Distinct passengers and capacity per flight and departure."""
     departs = departs or windows.previous_month_to_year_end(now)
-    legs = px.live_legs(t).where(departs.covers("DepartureDate"))
+    legs = departs.of(px.live_legs(t), "DepartureDate")
     legs = legs.select("InventoryLegID", "DepartureDate", "CarrierCode", "FlightNumber", "DepartureStation", "ArrivalStation", F.col("AdjustedCapacity").alias("Capacity"))
     segments = t["passenger_journey_segment"].select("PassengerID", "SegmentID", "International")
     flown = t["passenger_journey_leg"].select("PassengerID", "SegmentID", "InventoryLegID")

@@ -15,17 +15,19 @@ from farespan.operators import capacity as cap
 from farespan.operators import money as m
 from farespan.operators import passengers as px
 from farespan.operators.channels import with_agent
-from farespan.sources.sinks import stage
+from farespan.sources.sinks import scoped, stage
 from farespan.sources.tables import Tables
 
 
+@scoped
 def daily_sales(t: Tables, now: datetime, window: Window | None = None) -> DataFrame:
     """Seats and base fare in home currency by booking day, carrier, status and role."""
     window = window or windows.month_of_yesterday_to_date(now)
     fact = px.passenger_fact(t, px.bookings(t, window, None), px.live_legs(t))
     role = t["agent_role"].select(F.col("AgentID").alias("CreatedAgentID"), "RoleCode")
     fact = fact.join(role, "CreatedAgentID", "left")
-    charges = px.segment_sums(px.journey_charges(t), {"Fare": m.bucket(m.fare_types())})
+    fact = stage(fact.select("PassengerID", "SegmentID", "BookingDate", "CarrierCode", "Status", "RoleCode"), "management-passengers")
+    charges = px.segment_sums(px.journey_charges(t, of=fact), {"Fare": m.bucket(m.fare_types())})
     per_segment = fact.join(charges, ["PassengerID", "SegmentID"]).withColumns(
         {"Home": home_currency("CarrierCode"), "BookingDate": day("BookingDate")}
     )
@@ -52,6 +54,7 @@ def _converted_sums(rows: DataFrame, t: Tables, keys: list[str], measures: dict[
     return out.groupBy(*keys).agg(*[m.money(F.sum(f"{n}_c")).alias(n) for n in measures])
 
 
+@scoped
 def cash_flow(t: Tables, now: datetime, window: Window | None = None, bounds: str | None = None) -> DataFrame:
     """Fare, ancillary and tax revenue by booking day, carrier, charter flag and currency."""
     default, morning = windows.month_to_date_with_cutoff(windows.to_local(now, windows.MALAYSIA), bounds)
@@ -67,7 +70,7 @@ def cash_flow(t: Tables, now: datetime, window: Window | None = None, bounds: st
     codes = t["ancillary_fee_codes"]
 
     charges = px.segment_sums(
-        m.with_ancillary(px.journey_charges(t), codes),
+        m.with_ancillary(px.journey_charges(t, of=fact), codes),
         {
             "FareRevenue": m.bucket(m.fare_types(), m.of_code(*fixed.SURCHARGE_CODES)),
             "AncillaryRevenue": m.bucket(m.ancillary()),
@@ -78,22 +81,23 @@ def cash_flow(t: Tables, now: datetime, window: Window | None = None, bounds: st
         fact.join(charges, ["PassengerID", "SegmentID"]), t, keys,
         {n: F.sum(n) for n in ("FareRevenue", "AncillaryRevenue", "Tax")}, "local", "Home",
     )
-    fees = m.with_ancillary(m.signed_by_matrix(px.fee_lines(t), t["charge_type_matrix"]), codes, "FeeCode")
+    fees = m.with_ancillary(m.signed_by_matrix(px.fee_lines(t, fact), t["charge_type_matrix"]), codes, "FeeCode")
     measures = {
         "FareRevenue": F.sum(F.lit(0)),
         "AncillaryRevenue": m.bucket_or_null(F.col("IsAncillary")),
         "Tax": m.bucket(m.of_type(5)),
     }
-    tied = _converted_sums(px.leg_fees(fact, fees), t, keys, measures, "local", "Home")
-    loose = _converted_sums(px.booking_fees(fact, fees), t, keys, measures, "local", "Home")
+    # Equal rows of fees with and without a leg collapse, so they are told apart until then.
+    extra = _converted_sums(px.passenger_fees(fact, fees), t, [*keys, "Loose"], measures, "local", "Home").drop("Loose")
 
     pax_keys = ["BookingDate", "CarrierCode", "Status", "IsChartered"]
     pax = fact.groupBy(*pax_keys).agg(F.countDistinct("SegmentID").alias("Pax"))
-    return journey.union(tied).union(loose).distinct().join(pax, pax_keys, "left").withColumn(
+    return journey.union(extra).distinct().join(pax, pax_keys, "left").withColumn(
         "IsMorning", F.lit("Y" if morning else "N")
     )
 
 
+@scoped
 def currency_sales(t: Tables, now: datetime, window: Window | None = None, departs: Window | None = None) -> DataFrame:
     """Sales by booking currency with a ``Total`` row per carrier, and forward ASK."""
     default, default_departs = windows.trailing_31_days(now)
@@ -110,7 +114,7 @@ def currency_sales(t: Tables, now: datetime, window: Window | None = None, depar
     names = ["FareRevenue", "FuelAmount", "FeeAmount", "JourneyChargeOthers"]
     codes = t["ancillary_fee_codes"]
     charges = px.segment_sums(
-        m.with_ancillary(px.journey_charges(t), codes),
+        m.with_ancillary(px.journey_charges(t, of=fact), codes),
         {
             "FareRevenue": m.bucket(m.fare_types(), m.of_code("KLIA2")),
             "FuelAmount": m.bucket(m.fuel()),
@@ -123,13 +127,10 @@ def currency_sales(t: Tables, now: datetime, window: Window | None = None, depar
                         mode="myr", suffix="_c").groupBy(*keys).agg(
         *[m.money(F.sum(f"{n}_c")).alias(n) for n in names], F.countDistinct("SegmentID").alias("SeatsSold")
     )
-    fees = m.with_ancillary(m.signed_by_matrix(px.fee_lines(t), t["charge_type_matrix"]), codes, "FeeCode")
+    fees = m.with_ancillary(m.signed_by_matrix(px.fee_lines(t, fact), t["charge_type_matrix"]), codes, "FeeCode")
     measures = {n: F.sum(F.lit(0)) for n in names} | {"FeeAmount": m.bucket(F.col("IsAncillary"))}
-
-    def fee_part(rows: DataFrame) -> DataFrame:
-        return _converted_sums(rows, t, keys, measures, "myr").withColumn("SeatsSold", F.lit(0).cast("long"))
-
-    parts = journey.union(fee_part(px.leg_fees(fact, fees))).union(fee_part(px.booking_fees(fact, fees))).distinct()
+    extra = _converted_sums(px.passenger_fees(fact, fees), t, [*keys, "Loose"], measures, "myr").drop("Loose")
+    parts = journey.union(extra.withColumn("SeatsSold", F.lit(0).cast("long"))).distinct()
     by_currency = parts.groupBy(*keys).agg(
         *[m.money(F.sum(n)).alias(n) for n in names], F.sum("SeatsSold").alias("SeatsSold")
     ).where(F.col("CarrierCode") != fixed.FERRY_CARRIER)
@@ -139,9 +140,7 @@ def currency_sales(t: Tables, now: datetime, window: Window | None = None, depar
 
 def forward_ask_tables(t: Tables, departs: Window) -> tuple[DataFrame, DataFrame]:
     """Forward ASK by carrier and currency, and by carrier."""
-    legs = px.drop_charters(px.live_legs(t), t["chartered_flights"]).where(
-        departs.covers("DepartureDate") & (F.col("Capacity") > 0)
-    )
+    legs = px.drop_charters(departs.of(px.live_legs(t), "DepartureDate"), t["chartered_flights"]).where(F.col("Capacity") > 0)
     sectors = stage(cap.ask(cap.sector_capacity(legs), t["city_pair"], t["distance"]), "currency-sectors")
     per_currency = cap.forward_ask(cap.ask_currency(sectors, t), ["CarrierCode", "AskCurrency"])
     return per_currency, cap.forward_ask(sectors, ["CarrierCode"])
@@ -182,6 +181,7 @@ def sales_with_ask(by_currency: DataFrame, ask_currency: DataFrame, ask_carrier:
     return detail.unionByName(total).distinct()
 
 
+@scoped
 def ancillary_revenue(t: Tables, now: datetime, window: Window | None = None) -> DataFrame:
     """Ancillary items, quantity and revenue by departure, flight, sector and fee."""
     window = window or windows.previous_month_plus_six(now)
@@ -199,13 +199,14 @@ def ancillary_revenue(t: Tables, now: datetime, window: Window | None = None) ->
 
     segment = ["PassengerID", "SegmentID", "InventoryLegID", "International", *flight]
     line = ["FeeNumber", "FeeCode", "CurrencyCode", "ChargeType", "ChargeAmount", "CreatedDate"]
-    fees = px.fee_lines(t)
-    charges = m.with_ancillary(
+    fees = px.fee_lines(t, fact)
+    charges = px.within(
         t["passenger_journey_charge"].select(
             "PassengerID", "SegmentID", "ChargeNumber", "ChargeType", "ChargeCode", "ChargeAmount", "CurrencyCode", "CreatedDate"
         ),
-        t["ancillary_fee_codes"],
-    ).where(m.ancillary())
+        fact, "PassengerID", "SegmentID",
+    )
+    charges = m.with_ancillary(charges, t["ancillary_fee_codes"]).where(m.ancillary())
     charges = charges.select(
         "PassengerID", "SegmentID", F.col("ChargeNumber").cast("long").alias("FeeNumber"),
         F.when(F.col("ChargeType") == 8, "ConnectingFee").otherwise(F.col("ChargeCode")).alias("FeeCode"),
@@ -213,8 +214,7 @@ def ancillary_revenue(t: Tables, now: datetime, window: Window | None = None) ->
     )
     columns = [*segment, "JourneyNumber", "SegmentNumber", *line]
     lines = (
-        px.leg_fees(fact, fees).select(*columns)
-        .union(px.booking_fees(fact, fees).select(*columns))
+        px.passenger_fees(fact, fees).select(*columns)
         .union(fact.join(charges, ["PassengerID", "SegmentID"]).select(*columns))
         .distinct()
         .withColumn("Home", home_currency("CarrierCode"))

@@ -17,7 +17,7 @@ from farespan.operators import capacity as cap
 from farespan.operators import money as m
 from farespan.operators import passengers as px
 from farespan.plans.routes import ancillary_by_flight, extra_parts, fee_amounts
-from farespan.sources.sinks import stage
+from farespan.sources.sinks import scoped, stage
 from farespan.sources.tables import Tables
 from farespan.sources.views import segment_view
 
@@ -76,7 +76,9 @@ def priced_segments(t: Tables, spec: CompareSpec, departs: Window) -> DataFrame:
         "PassengerID", "SegmentID", "DepartureDate", "CarrierCode", "FlightNumber", "FareClassOfService", "BookingStatus", "CreatedDate",
         tf.day("CreatedDate").alias("CreatedDay"), sector("DepartureStation", "ArrivalStation").alias("Route"),
     )
+    seg = stage(seg, f"compare-{spec.name}-flown")
     charges = t["passenger_journey_charge"].select("PassengerID", "SegmentID", "ChargeNumber", "ChargeType", "ChargeCode", "ChargeAmount")
+    charges = px.within(charges, seg, "PassengerID", "SegmentID")
     # A row that is both the first charge and a discount counts in both, so parts stay apart.
     less = [m.of_type(1), m.of_type(7)]
     totals = m.segment_charges(
@@ -118,8 +120,8 @@ def flights_sold(passengers: DataFrame, ancillary: DataFrame) -> DataFrame:
 
 def cabin_inventory(t: Tables, departs: Window) -> DataFrame:
     """Seats per flight, day and cabin of every carrier's open legs."""
-    legs = t["inventory_leg"].where(
-        departs.covers("DepartureDate") & (F.col("Status") != 2) & (F.col("Lid") > 0)
+    legs = departs.of(t["inventory_leg"], "DepartureDate").where(
+        (F.col("Status") != 2) & (F.col("Lid") > 0)
         & ~F.col("FlightNumber").isin(list(fixed.D7_SPECIAL))
     )
     legs = px.remap_carrier(legs, t["carrier_mapping"]).select(
@@ -156,6 +158,7 @@ def same_period_join(current: DataFrame, previous: dict[str, DataFrame], year: i
     return out
 
 
+@scoped
 def route_performance(t: Tables, now: datetime, spec: CompareSpec) -> DataFrame:
     """Three snapshots side by side for this year, and next year against this one."""
     spans = windows.year_on_year(windows.to_local(now, windows.MALAYSIA))

@@ -10,20 +10,73 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager, suppress
 from contextvars import ContextVar
+from datetime import date, timedelta
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _local_dir: str | None = None
 
 
+def _move(spark: SparkSession, source: str, target: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return path(source).getFileSystem(spark._jsc.hadoopConfiguration()).rename(path(source), path(target))
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def save(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace a result table."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    """Replace a result table by write, then swap.
+
+    The new rows are written beside the table first, so a run that fails leaves the table as it
+    was, and a report may read the very table it replaces. Between the two renames there is
+    a moment without a table; the old one is then under ``<path>._old`` and is put back by the
+    next call if the swap was cut off there.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    new, old = f"{path}._new-{uuid.uuid4().hex}", f"{path}._old"
+    if _exists(spark, old):
+        if not _exists(spark, path):
+            _move(spark, old, path)
+        else:
+            _delete(spark, old)
+    try:
+        writer = df.write.mode("errorifexists")
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(new)
+        if _exists(spark, path) and not _move(spark, path, old):
+            raise OSError(f"could not move {path} aside")
+        if not _move(spark, new, path):
+            raise OSError(f"could not move {new} to {path}")
+    except BaseException:
+        _delete(spark, new)
+        if _exists(spark, old) and not _exists(spark, path):
+            _move(spark, old, path)
+        raise
+    _delete(spark, old)
+
+
+def refresh_days(df: DataFrame, path: str, day: str, first: date, last: date) -> None:
+    """Replace the days ``first`` to ``last`` of a result stored by day; other days stay.
+
+    Days with rows are swapped by a dynamic partition overwrite, which moves finished files in
+    at its commit; days of the range that have no row any more are removed after it.
+    Rows outside the range are refused, as they would replace days that were not asked for.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    with staging_scope():
+        rows = stage(df, "refresh")
+        days = [r[0] for r in rows.select(F.col(day).cast("date")).distinct().collect()]
+        if any(d is None or not first <= d <= last for d in days):
+            raise ValueError(f"rows outside {first} to {last}")
+        rows.repartition(day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+    for n in range((last - first).days + 1):
+        if (d := first + timedelta(days=n)) not in days:
+            _delete(spark, f"{path}/{day}={d}")
 
 
 def save_table(df: DataFrame, name: str) -> None:
@@ -109,7 +162,7 @@ def staging_scope() -> Iterator[None]:
 
 def _read_by(result: object) -> set[str]:
     """Staged folders that a frame, or one of several, reads."""
-    frames = result if isinstance(result, (tuple, list)) else [result]
+    frames = result if isinstance(result, (tuple, list)) else result.values() if isinstance(result, dict) else [result]
     files = (f for df in frames if isinstance(df, DataFrame) for f in df.inputFiles())
     return {m[0] for f in files if (m := re.search(r"[^/]+(?=/[^/]+$)", f))}
 

@@ -54,15 +54,19 @@ def normalise(name: str, df: DataFrame) -> DataFrame:
 class Tables(Mapping[str, DataFrame]):
     """Named source tables, each read once and normalised on first use."""
 
-    def __init__(self, spark: SparkSession, read: Callable[[str], DataFrame], names: list[str] | None = None):
+    def __init__(self, spark: SparkSession, read: Callable[[str], DataFrame], names: list[str] | None = None,
+                 normalised: bool = False):
+        """``normalised``: the tables were stored with their codes trimmed, upper-cased and cast."""
         self.spark = spark
+        self._normalised = normalised
         self._read = read
         self._names = names or []
         self._cache: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = normalise(name, self._read(name))
+            df = self._read(name)
+            self._cache[name] = df if self._normalised else normalise(name, df)
         return self._cache[name]
 
     def __iter__(self):

@@ -5,12 +5,12 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
-from checks import operators
+from checks import layout, operators
 from checks.compare import compare, connect
 from checks.reports import report_queries
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted({**operators.QUERIES, **report_queries()})
+NAMES = sorted({**operators.QUERIES, **layout.QUERIES, **report_queries()})
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="driver data not present")
 
 

@@ -122,9 +122,10 @@ def test_fees_by_leg_and_by_booking(spark):
     t = fees(spark)
     pax = spark.createDataFrame([(1, 10, 1, 1, 7), (1, 11, 1, 2, 8), (2, 12, 1, 1, 7)], "PassengerID long, SegmentID long, JourneyNumber int, SegmentNumber int, InventoryLegID long")
     lines = px.fee_lines(t)
-    assert rows(px.leg_fees(pax, lines), "SegmentID", "ChargeAmount") == [(10, D("5.0000"))]
-    assert rows(px.booking_fees(pax, lines), "SegmentID", "ChargeAmount") == [(10, D("3.0000"))]
-    assert rows(px.booking_fees(pax, lines, first_segment=False), "SegmentID") == [(10,), (11,)]
+    assert rows(px.passenger_fees(pax, lines), "SegmentID", "ChargeAmount", "Loose") == [(10, D("3.0000"), True), (10, D("5.0000"), False)]
+    loose = px.passenger_fees(pax, lines, first_segment=False).where("Loose")
+    assert rows(loose, "SegmentID") == [(10,), (11,)]
+    assert rows(px.passenger_fees(pax, lines, tied=F.col("FeeLegID") > 7), "Loose") == [(True,)]
 
 
 def test_row_pick_is_by_currency_with_nulls_first(spark):
