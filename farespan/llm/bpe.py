@@ -19,7 +19,8 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +32,32 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 
 from farespan.llm import arrays as A
 
-LEAF = 16  # bytes that are merged directly, and ids whose bytes are put together at once
-KNOWN = 1 << 18  # chunks and pairs whose ids a worker remembers; beyond it begins anew
+LEAF = 4  # bytes that are merged directly
+GATHER = 1024  # ids whose bytes are put together at once
+KNOWN = 1 << 18  # entries of each of a worker's memories; beyond it the older half goes
 ROWS = 256  # rows decoded together
 REMEMBERED = 64  # characters of the longest chunk that is remembered
+HALVES, WINDOWS = 8, 16  # bytes of the longest half and of the longest window that are remembered
+
+
+class Memory(dict):
+    """Remembers up to KNOWN results, and the KNOWN before them as long as they are asked for."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+            if value is None:
+                return None
+        if len(self) >= KNOWN:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
 
 class Codec:
@@ -45,10 +68,16 @@ class Codec:
 
     def __init__(self, file: bytes, pattern: str):
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file.splitlines()) if a}
-        self.bytes = {i: b for b, i in self.ranks.items()}
+        self.bytes: list[bytes | None] = [None] * (max(self.ranks.values()) + 1)
+        for data, i in self.ranks.items():
+            self.bytes[i] = data
         self.split = regex.compile(pattern)
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self._chunks: dict[str, bytes] = {}
+        # Whether blanks part matches and letters stay together, as in the usual patterns.
+        self.blanks = self.split.findall("Ab cD, x") == ["Ab", " cD", ",", " x"]
+        self.pairs = Memory(lambda ab: self.window(self.bytes[ab[0]] + self.bytes[ab[1]]) == [*ab])
+        self.halves = Memory(self._reduced)
+        self.windows = Memory(self.merged)
+        self.parts = Memory(self._part)
 
     # ------------------------------------------------------------ one match
 
@@ -78,29 +107,30 @@ class Codec:
             i = end[i]
         return out
 
-    def apart(self, a: int, b: int) -> bool:
-        """Whether two adjacent ids are the encoding of their bytes."""
-        seen = self._pairs.get((a, b))
-        if seen is None:
-            if len(self._pairs) >= KNOWN:
-                self._pairs.clear()
-            seen = self._pairs[a, b] = self.merged(self.bytes[a] + self.bytes[b]) == [a, b]
-        return seen
+    def window(self, data: bytes) -> list[int]:
+        return self.windows[data] if len(data) <= WINDOWS else self.merged(data)
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
-        """The encoding of the bytes of two encodings; associative, with the empty list as unit."""
-        if not left or not right or self.apart(left[-1], right[0]):
+        """The encoding of the bytes of two encodings; associative, with the empty list as unit.
+
+        ``pairs`` tells of two ids whether they are the encoding of their own bytes.
+        """
+        apart = self.pairs
+        if not left or not right or apart[left[-1], right[0]]:
             return left + right
         k = 1
         while True:
             i, j = max(len(left) - k, 0), min(k, len(right))
-            window = self.merged(b"".join(map(self.bytes.__getitem__, left[i:] + right[:j])))
-            if (i == 0 or self.apart(left[i - 1], window[0])) and (j == len(right) or self.apart(window[-1], right[j])):
+            window = self.window(b"".join([self.bytes[x] for x in left[i:] + right[:j]]))
+            if (i == 0 or apart[left[i - 1], window[0]]) and (j == len(right) or apart[window[-1], right[j]]):
                 return left[:i] + window + right[j:]
             k *= 2
 
     def reduced(self, data: bytes) -> list[int]:
         """Ids of one match: halves, joined up the tree."""
+        return self.halves[data] if len(data) <= HALVES else self._reduced(data)
+
+    def _reduced(self, data: bytes) -> list[int]:
         if len(data) <= LEAF:
             return self.merged(data)
         half = len(data) // 2
@@ -110,42 +140,54 @@ class Codec:
 
     def matches(self, chunk: str) -> bytes:
         """Ids of the matches of a chunk, as 32-bit numbers. A match that is itself ranked is one id."""
-        if (known := self._chunks.get(chunk)) is not None:
-            return known
         ids: list[int] = []
-        for match in self.split.findall(chunk):
+        word = chunk[1:] if chunk[:1] == " " else chunk
+        # Plain letters behind at most one blank are one match.
+        for match in (chunk,) if self.blanks and word.isascii() and word.isalpha() else self.split.findall(chunk):
             data = match.encode()
             one = self.ranks.get(data)
-            ids += self.reduced(data) if one is None else (one,)
-        out = np.array(ids, dtype="<i4").tobytes()
-        if len(chunk) <= REMEMBERED:
-            if len(self._chunks) >= KNOWN:
-                self._chunks.clear()
-            self._chunks[chunk] = out
-        return out
+            if one is None:
+                ids += self.reduced(data)
+            else:
+                ids.append(one)
+        return array("i", ids).tobytes()
+
+    def _part(self, part: str) -> bytes | None:
+        """Ids of a part that stands behind a blank; none if it doesn't begin and end with ink."""
+        if not part or part[0].isspace() or part[-1].isspace() or len(part) > REMEMBERED:
+            return None
+        return self.matches(" " + part)
 
     def encode(self, text: str) -> bytes:
         """Ids of a text, as 32-bit numbers.
 
         A single blank between two characters that are no white space always begins a match, so
-        the text may be cut there; all else stays together for the pattern.
+        the text may be cut there; all else stays together for the pattern. A pattern for which that
+        doesn't hold gets the whole text.
         """
-        cut = text.split(" ")
-        known, out, held = self._chunks, [], cut[0]
-        for part in cut[1:]:
+        if not self.blanks:
+            return self.matches(text)
+        first, *rest = text.split(" ")
+        out = list(map(self.parts.__getitem__, rest))
+        if None not in out and not (first and first[-1].isspace()):
+            return b"".join([self.matches(first), *out])
+        out, held = [], first
+        for part in rest:
             if held and part and not held[-1].isspace() and not part[0].isspace():
-                ids = known.get(held)
-                out.append(self.matches(held) if ids is None else ids)
+                out.append(held)
                 held = " " + part
             else:
                 held += " " + part
-        out.append(self.matches(held))
-        return b"".join(out)
-
-    def decode(self, ids: list[int]) -> bytes:
-        """Bytes of ids, put together up a tree of halves."""
-        if len(ids) <= 64 * LEAF:
-            return b"".join(map(self.bytes.__getitem__, ids))
+        out.append(held)
+        return b"".join([(self.parts[x[1:]] if x[:1] == " " else None) or self.matches(x) for x in out])
+
+    def decode(self, ids: Sequence[int]) -> bytes:
+        """Bytes of ids, put together up a tree of halves; a KeyError for an unknown one."""
+        if len(ids) <= GATHER:
+            try:
+                return b"".join([self.bytes[i] for i in ids])
+            except (IndexError, TypeError):
+                raise KeyError("unknown id") from None
         half = len(ids) // 2
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
@@ -205,8 +247,9 @@ def decode(rows: DataFrame, path: str, pattern: str, ids: str = "ids", out: str
             for at in range(0, batch.num_rows, ROWS):
                 part, made = batch.slice(at, ROWS), []
                 for listed in part.column(out):
+                    ids_ = listed.values.to_pylist() if listed.is_valid else []
                     try:
-                        made.append(codec.decode(listed.values.to_pylist()) if listed.is_valid else b"")
+                        made.append(codec.decode(ids_) if None not in ids_ and min(ids_, default=0) >= 0 else None)
                     except KeyError:
                         made.append(None)
                 yield pa.RecordBatch.from_arrays([*map(part.column, names), pa.array(made, pa.binary())], [*names, out])

@@ -68,6 +68,15 @@ def test_a_full_memory_begins_anew(library, monkeypatch):
         assert ids(small, text) == library.encode_ordinary(text)
 
 
+def test_a_pattern_of_another_kind(library):
+    pattern = r"\p{L}|\s+|[^\s\p{L}]+"
+    with open(PATH, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    own, other = bpe.Codec(bpe._read(PATH), pattern), tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    for text in samples()[:150]:
+        assert ids(own, text) == other.encode_ordinary(text)
+
+
 def test_round_trip_of_a_table(spark, library):
     rows = [(i, t, "clash", [1]) for i, t in enumerate(samples())] + [(None, None, "", None), (3, "again", "", None), (3, "again", "", None), (9, "word " * 60_000, "", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, bytes string, ids array<int>").repartition(4)
