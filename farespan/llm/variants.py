@@ -32,12 +32,13 @@ LEAST = 5  # code points of a word
 OFTEN = 3  # occurrences of a word
 DROP = 97  # one run in so many loses a code point
 TIMES = 2  # a form is at least so many times as frequent
-PARTS = 2  # parts at first
+PARTS = 3  # parts at first
 BLOCK = 2000  # words of a block that is scanned as it is
 HELD = 200_000  # words counted by a task, or rows found, before it hands them on
 READ = 256 << 20  # bytes of text after which it does so at the latest
 RUN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\xbf])+")  # A-Z, a-z and U+00C0 to U+00FF, as UTF-8
 FAR = 9  # a cell outside the matrix
+FIRST, SAME, LAST, ALONE = (FAR, 0, 1), (1, 0, 1), (1, 0, FAR), (FAR, 0, FAR)  # rows of a word against itself
 
 
 # ---------------------------------------------------------------- words
@@ -153,21 +154,38 @@ def near_pairs(words: list[str]) -> Iterator[tuple[int, int]]:
     for i in range(m - 1):
         sought = words[i]
         n = len(sought)
-        rows = [(FAR, 0, 1 if n else FAR)]
-        j, limit = i + 1, 0  # rows[: limit + 1] hold for words[j]
+        # Against itself a word's rows have no edit on the diagonal; the next word takes over
+        # those of the prefix the two share.
+        rows = [FIRST, *[SAME] * (n - 1), LAST] if n else [ALONE]
+        j, limit = i + 1, common[i + 1]  # rows[: limit + 1] hold for words[j]
         while j < m:
             word = words[j]
-            end, d = len(word), min(limit, len(rows) - 1)
+            end, d = len(word), limit if limit < len(rows) else len(rows) - 1
             del rows[d + 1 :]
             a, b, c = rows[d]
-            while d < end and (a < 2 or b < 2 or c < 2):
+            while d < end:
                 ch = word[d]
-                a2 = FAR if d > n else min(b + 1, a + (sought[d - 1] != ch)) if d else b + 1
-                b2 = min(c + 1, a2 + 1, b + (sought[d] != ch)) if d < n else FAR
-                c2 = min(b2 + 1, c + (sought[d + 1] != ch)) if d + 1 < n else FAR
-                a, b, c = a2, b2, c2
+                if 0 < d and d + 1 < n:
+                    a = a if sought[d - 1] == ch else a + 1
+                    if b < a:
+                        a = b + 1
+                    b = b if sought[d] == ch else b + 1
+                    if c < b:
+                        b = c + 1
+                    if a < b:
+                        b = a + 1
+                    c = c if sought[d + 1] == ch else c + 1
+                    if b < c:
+                        c = b + 1
+                else:  # at the rim some cells lie outside the matrix
+                    a2 = FAR if d > n else min(b + 1, a + (sought[d - 1] != ch)) if d else b + 1
+                    b2 = min(c + 1, a2 + 1, b + (sought[d] != ch)) if d < n else FAR
+                    c = min(b2 + 1, c + (sought[d + 1] != ch)) if d + 1 < n else FAR
+                    a, b = a2, b2
                 d += 1
                 rows.append((a, b, c))
+                if a > 1 and b > 1 and c > 1:
+                    break
             if d == end and -1 <= n - end <= 1 and (a, b, c)[n - end + 1] == 1:
                 yield i, j
             # Words that share the d code points of a row without hope go by together.
