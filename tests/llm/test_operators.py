@@ -227,27 +227,6 @@ def test_lines_that_share_a_frame_meet_all_their_near_copies(spark, monkeypatch,
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values())) and len(want) == 60
 
 
-def test_licenses_are_found(spark, docs):
-    extra = spark.createDataFrame([(80, "some text here\nLicensed under the Apache License, Version 2.0.", "en", "a", 1), (81, "Released under the MIT License.", "en", "a", 1), (82, "he has a license to drive the old red tractor home", "en", "a", 1), (83, "This work is licensed under the GNU General Public License, version 3.", "en", "a", 1)], SCHEMA)
-    got = {r.doc_id: (r.family, r.confirmed) for r in licenses.scan(docs.unionByName(extra)).collect()}
-    assert got[80] == ("apache-2.0", True) and got[81] == ("mit", True) and got[83] == ("gpl-3.0", True)
-    assert not got[82][1] and set(got) == {80, 81, 82, 83}
-
-
-def test_licenses_in_wrapped_and_long_paragraphs(spark, docs):
-    def wrapped(text, n):
-        w = text.split()
-        return "\n".join(" ".join(w[i : i + n]) for i in range(0, len(w), n))
-
-    mit, gpl = licenses.TEMPLATES["mit"][2], licenses.TEMPLATES["gpl-3.0"][1]
-    texts = [wrapped(mit, 9), prose(90, 30) + "\n \n" + wrapped(gpl, 11), prose(91, 300) + "\n" + wrapped(mit, 12) + "\n" + prose(92, 300)]
-    extra = spark.createDataFrame([(80 + i, t, "en", "a", 1) for i, t in enumerate(texts)], SCHEMA)
-    out = licenses.scan(docs.unionByName(extra)).collect()
-    found = {(r.doc_id, r.paragraph, r.family) for r in out if r.confirmed}
-    assert found == {(80, 0, "mit"), (81, 1, "gpl-3.0"), (82, 0, "mit")}
-    assert {r.doc_id for r in out} == {80, 81, 82}
-
-
 def test_bayes_tells_junk_and_shrinks(spark, corpus):
     junk = [(100 + i, " ".join(w + "###" for w in prose(i, 60).split()), "en", "bad", 1) for i in range(30)]
     docs = spark.createDataFrame(corpus + junk, SCHEMA)
