@@ -5,10 +5,12 @@ Jaccard similarity is at least 80 %.
 
 1. Documents with equal sets form a class; one set stands for it.
 2. Under one global order of shingles, linked sets share one among the first n // 5 + 1 of
-   each. Shingles that many documents have come last in the order (the list of them is only
-   a hint for speed, of at most HINTS entries, counted over all documents).
-3. Shingles are dealt by hash; the classes that share one are listed under the least of
-   them, their leader.
+   each, the prefix. The order puts rare shingles first, so a set shares its prefix with others
+   only if it has few shingles of its own: of the lowest LOW of all hashes those that one class
+   alone has, then the rest by the number of classes that have them; then the higher
+   hashes; and last the shingles that very many documents have (at most HINTS, counted over all
+   documents). These need no counting by shingle, so none meets in one place.
+3. The classes that share a prefix shingle are listed under the least of them, their leader.
 4. Under each leader a signature tree is built: a leaf holds some sets of similar size, a
    node the OR of the bitmaps below it, the range of sizes and the most that a bitmap
    undercounts. The tree is traversed against itself; a pair of nodes is dropped when its
@@ -28,15 +30,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farespan.llm import arrays as A
-from farespan.llm.common import components, hot_join, stage
+from farespan.llm.common import components, drop_staged, hot_join, scoped, stage
 
 HINTS = 1 << 16  # common shingles that go last in the order
 HINT_ROWS = 8  # seen in at least so many documents
+LOW = 0.3  # share of all hashes whose classes are counted; a prefix takes a fifth
 GROUP = 4000  # sets in a signature tree
+WEIGHT = 4 << 20  # shingles of these sets
 LEAF, FAN = 8, 8
 DOUBTS = 8  # pairs in doubt tested for each set in the first round
 EDGES = 1 << 16  # links that a task contracts at once
@@ -77,46 +81,74 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def common_shingles(docs: DataFrame) -> np.ndarray:
-    """The most frequent shingles, least frequent first."""
+    """The most frequent shingles, least frequent first: those of every count that leaves no
+    more than HINTS. Counts are cut off by their histogram, a row for each power of two and
+    quarter of it, so no ranking meets in one place."""
     rows = docs.select("text").mapInArrow(_common, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = rows.filter(F.col("n") >= HINT_ROWS).orderBy(F.desc("n"), "token").limit(HINTS).toPandas()
-    return top["token"].to_numpy(np.int64).astype(A.U)[::-1].copy()
+    rows = stage(rows.filter(F.col("n") >= HINT_ROWS), "jaccard-common")
+    step = F.floor(F.log2("n") * 4)
+    least, held = None, 0
+    for r in sorted(rows.groupBy(step.alias("step")).agg(F.count("*").alias("tokens"), F.min("n").alias("n")).collect(), key=lambda r: -r.step):
+        held += r.tokens
+        if held > HINTS:
+            break
+        least = r.n
+    top = rows.filter(F.col("n") >= least).toPandas() if least else None
+    drop_staged(rows)
+    if top is None:
+        return np.zeros(0, A.U)
+    top = top.sort_values(["n", "token"])
+    return top["token"].to_numpy(np.int64).astype(A.U)
 
 
 def shingle_table(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """One row per document: doc_id, sid (id of its set), n, bits (bitmap), prefix."""
+    """One row per document: doc_id, sid (id of its set), key (hash of its text), n, tokens,
+    gap, last.
+
+    ``tokens``: the low shingles that are not common, sorted, and if these don't fill the prefix
+    the higher ones that do. ``gap``: how many shingles the prefix takes beyond the low ones,
+    below zero if there are more of these. ``last``: the common ones that it takes.
+    """
     by_hash = np.argsort(common, kind="stable")
     hot, place = common[by_hash], by_hash
     quick = np.zeros(1 << 20, dtype=bool)
     quick[(hot >> A.U(44)).astype(np.int64)] = True
+    top = A.U(int(LOW * 2.0**64))
+    none = np.zeros(0, A.U)
 
-    def prefix(own: np.ndarray) -> np.ndarray:
+    def prefix(own: np.ndarray) -> tuple[np.ndarray, int, np.ndarray]:
+        size, last = len(own) // 5 + 1, none
         maybe = np.flatnonzero(quick[(own >> A.U(44)).astype(np.int64)])
-        size = len(own) // 5 + 1
         if len(maybe) and len(hot):
             at = np.minimum(np.searchsorted(hot, own[maybe]), len(hot) - 1)
             same = hot[at] == own[maybe]
             at, maybe = at[same], maybe[same]
-            if len(maybe):
-                rest = np.delete(own, maybe)
-                return np.concatenate([rest[:size], own[maybe][np.argsort(place[at])]])[:size]
-        return own[:size]
+            last = own[maybe][np.argsort(place[at])]
+            own = np.delete(own, maybe)
+        low = int(np.searchsorted(own, top))
+        rest = own[: max(size, low)]
+        return rest, size - low, last[: max(size - len(rest), 0)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in A.pieces(batch, "text"):
-                sid, n, bits, first = [], [], [], []
+                sid, n, tokens, gap, last = [], [], [], [], []
                 for own in A.shingle_sets(part.column("text")):
                     n.append(len(own))
                     sid.append(_set_id(own) if len(own) else None)
-                    bits.append(bitmap(own).tobytes() if len(own) else None)
-                    first.append(prefix(own).tobytes() if len(own) else None)
+                    x, g, y = prefix(own) if len(own) else (none, 0, none)
+                    tokens.append(x.tobytes())
+                    gap.append(g)
+                    last.append(y.astype(np.int64))
+                ends = np.concatenate([[0], np.cumsum([len(y) for y in last])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(sid, pa.int64()), pa.array(n, pa.int64()), pa.array(bits, pa.binary()), pa.array(first, pa.binary())],
-                    ["doc_id", "sid", "n", "bits", "prefix"],
+                    [part.column("doc_id"), part.column("key"), pa.array(sid, pa.int64()), pa.array(n, pa.int64()), pa.array(gap, pa.int64()), pa.array(tokens, pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *last])))],
+                    ["doc_id", "key", "sid", "n", "gap", "tokens", "last"],
                 )
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, sid long, n long, bits binary, prefix binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
+    return rows.mapInArrow(run, "doc_id long, key long, sid long, n long, gap long, tokens binary, last array<long>")
 
 
 def bitmap(own: np.ndarray) -> np.ndarray:
@@ -148,41 +180,64 @@ def _dealt(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, seen = [], 0, set()
         for batch in batches:
-            for sid, first in zip(batch.column("sid").to_pylist(), batch.column("prefix")):
+            for sid, tokens in zip(batch.column("sid").to_pylist(), batch.column("tokens")):
                 if sid in seen:
                     continue
                 seen.add(sid)
-                held.append((sid, np.frombuffer(first.as_buffer(), dtype=A.U)))
+                held.append((sid, np.frombuffer(tokens.as_buffer(), dtype=A.U)))
                 size += len(held[-1][1])
                 if size > FLUSH:
                     yield flush(held)
                     held, size, seen = [], 0, set()
-        if held:
+        if size:
             yield flush(held)
 
     return run
 
 
-def _leaders(table: pa.Table) -> pa.Table:
-    """(leader, sid) of the sets that share a shingle of this bucket."""
+def _shared(table: pa.Table) -> pa.Table:
+    """(sid, token, df) of the shingles of this bucket that several sets have."""
     token = np.concatenate([np.frombuffer(x.as_buffer(), dtype=A.U) for x in table.column("token")])
     sid = np.concatenate([np.frombuffer(x.as_buffer(), dtype=np.int64) for x in table.column("sid")])
     order = np.lexsort((sid, token))
     token, sid = token[order], sid[order]
-    new = np.r_[True, token[1:] != token[:-1]]
-    leader = sid[np.flatnonzero(new)][np.cumsum(new) - 1]
-    other = leader != sid
-    pairs = np.unique(np.stack([leader[other], sid[other]], axis=1), axis=0) if other.any() else np.zeros((0, 2), np.int64)
-    return pa.table({"leader": pairs[:, 0], "sid": pairs[:, 1]})
+    new = np.r_[True, (token[1:] != token[:-1]) | (sid[1:] != sid[:-1])]
+    token, sid = token[new], sid[new]
+    at = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+    df = np.diff(np.r_[at, len(token)])
+    several = np.repeat(df > 1, df)
+    return pa.table({"sid": sid[several], "token": token[several].astype(np.int64), "df": np.repeat(df, df)[several].astype(np.int64)})
+
+
+def prefixes(sets: DataFrame) -> DataFrame:
+    """(sid, token) of the prefix shingles that other classes have as well, in their low or
+    higher part, and of all common ones.
+
+    Of ``low`` shingles, ``shared`` ones among them, a prefix of ``low + gap`` takes those
+    without a second class first, so ``shared + gap`` of the others are left to take.
+    """
+    whole = sets.filter("n > 0")
+    total = whole.agg(F.sum(F.octet_length("tokens") / 8)).first()[0] or 0
+    buckets = int(total // FLUSH) + 1 + sets.sparkSession.sparkContext.defaultParallelism
+    found = whole.select("sid", "tokens").mapInArrow(_dealt(buckets), "bucket long, token binary, sid binary").groupBy("bucket").applyInArrow(_shared, "sid long, token long, df long")
+    gaps = whole.select("sid", "gap").dropDuplicates(["sid"])
+    rows = found.join(gaps, "sid")
+    # Hashes are unsigned; as signed numbers the low ones are those from 0 on.
+    low = F.col("token").between(0, int(LOW * 2.0**64)) if LOW <= 0.5 else F.lit(None)
+    rank = F.row_number().over(Window.partitionBy("sid").orderBy("df", "token"))
+    shared = F.count("*").over(Window.partitionBy("sid"))
+    few = rows.filter(low & (F.col("gap") <= 0)).withColumns({"_rank": rank, "_shared": shared}).filter("_rank <= _shared + gap").select("sid", "token")
+    all_ = rows.filter("gap > 0").select("sid", "token")
+    return few.unionByName(all_).unionByName(whole.select("sid", F.explode("last").alias("token")).distinct())
 
 
 def members(sets: DataFrame) -> DataFrame:
     """Distinct (leader, sid), the leader among its own."""
-    whole = sets.filter("n > 0").select("sid", "prefix")
-    total = whole.agg(F.sum(F.octet_length("prefix") / 8)).first()[0] or 0
-    buckets = int(total // FLUSH) + 1 + sets.sparkSession.sparkContext.defaultParallelism
-    found = whole.mapInArrow(_dealt(buckets), "bucket long, token binary, sid binary").groupBy("bucket").applyInArrow(_leaders, "leader long, sid long")
-    both = found.distinct()
+    picks = stage(prefixes(sets), "jaccard-picks")
+    heads = stage(picks.groupBy("token").agg(F.min("sid").alias("leader"), F.count("*").alias("_n")).filter("_n > 1"), "jaccard-heads")
+    total = heads.agg(F.sum("_n")).first()[0] or 1
+    rows = hot_join(picks, heads, "token", "_n", total).filter("leader is not null")
+    both = rows.filter("leader != sid").select("leader", "sid").distinct()
     return both.unionByName(both.select("leader", F.col("leader").alias("sid")).distinct())
 
 
@@ -343,29 +398,30 @@ def candidates(cells: DataFrame, classes: DataFrame, roots: DataFrame | None, te
     return found.groupBy("a", "b").agg(F.max("sure").alias("sure"))
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b, sure, linked) by the exact similarity of the whole texts."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    wanted = ids.join(classes.select("sid", "doc_id"), "sid")
-    texts = stage(
-        docs.select(F.col("doc_id").cast("long").alias("_doc"), "text").join(wanted, F.col("_doc").eqNullSafe(F.col("doc_id")))
-        .select("doc_id", "sid", "text").mapInArrow(_right_text, "sid long, text string").dropDuplicates(["sid"]),
-        "jaccard-texts",
-    )
-    rows = (
-        pairs.join(texts.select(F.col("sid").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(texts.select(F.col("sid").alias("b"), F.col("text").alias("text_b")), "b")
-    )
-    return rows.select("a", "b", "sure", "text_a", "text_b").mapInArrow(_exact, "a long, b long, sure boolean, linked boolean")
+def listed(docs: DataFrame, thin: DataFrame, own: DataFrame) -> DataFrame:
+    """sid, n, bits, text of one document of each class that is listed anywhere."""
+    wanted = own.select("sid").distinct().join(thin.filter("n > 0"), "sid")
+    wanted = wanted.groupBy("sid").agg(F.min(F.struct("key", "doc_id")).alias("of")).select("sid", F.col("of.key").alias("key"), F.col("of.doc_id").alias("_doc"))
+    rows = docs.select(F.xxhash64("text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = rows.join(wanted, (rows["key"] == wanted["key"]) & rows["doc_id"].eqNullSafe(F.col("_doc"))).select("sid", "text")
+    return rows.dropDuplicates(["sid"]).mapInArrow(_bitmaps, "sid long, n long, bits binary, text string")
 
 
-def _right_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose text has the set asked for: a doc_id may stand on different texts."""
+def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in A.pieces(batch, "text"):
-            own = [_set_id(s) if len(s) else None for s in A.shingle_sets(part.column("text"))]
-            keep = [a == b for a, b in zip(own, part.column("sid").to_pylist())]
-            yield part.select(["sid", "text"]).filter(pa.array(keep, pa.bool_()))
+            sets = list(A.shingle_sets(part.column("text")))
+            n, bits = pa.array([len(s) for s in sets], pa.int64()), pa.array([bitmap(s).tobytes() for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("sid"), n, bits, part.column("text")], ["sid", "n", "bits", "text"])
+
+
+def verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b, sure, linked) by the exact similarity of the whole texts."""
+    rows = (
+        pairs.join(classes.select(F.col("sid").alias("a"), F.col("text").alias("text_a")), "a")
+        .join(classes.select(F.col("sid").alias("b"), F.col("text").alias("text_b")), "b")
+    )
+    return rows.select("a", "b", "sure", "text_a", "text_b").mapInArrow(_exact, "a long, b long, sure boolean, linked boolean")
 
 
 def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -380,33 +436,34 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # -- the join ----------------------------------------------------------------------------
 
-def _grid(own: DataFrame) -> DataFrame:
-    """Members with their chunk: a leader of over GROUP sets is cut into several."""
-    sizes = stage(own.groupBy("leader").agg(F.count("*").alias("_n")), "jaccard-leaders")
+def _grid(own: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members with their chunk: a leader of over GROUP sets, or of over WEIGHT shingles, is cut
+    into several. A chunk holds a share of both by chance, and a set of its own in any case."""
+    own = stage(own.join(classes.select("sid", "n"), "sid"), "jaccard-own")
+    sizes = stage(own.groupBy("leader").agg(F.count("*").alias("_n"), F.sum("n").alias("_weight")), "jaccard-leaders")
     out = hot_join(own, sizes, "leader", "_n", own.count())
-    parts = F.ceil(F.col("_n") / GROUP)
-    return stage(out.select("leader", "sid", parts.alias("parts"), F.pmod(F.xxhash64("sid"), parts).alias("chunk")), "jaccard-members")
+    parts = F.least(F.greatest(F.ceil(F.col("_n") / GROUP), F.ceil(F.col("_weight") / WEIGHT)), F.col("_n"))
+    out = stage(out.select("leader", "sid", parts.alias("parts"), F.pmod(F.xxhash64("sid"), parts).alias("chunk")), "jaccard-members")
+    drop_staged(own)
+    return out
 
 
-def link_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, sid, n of every row; sid, count, component of every class with a word)."""
+def components_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key, sid, n of every row; sid, root of every class with a link)."""
     sets = stage(shingle_table(docs, common_shingles(docs)), "jaccard-sets")
-    full = sets.filter("n > 0")
+    thin = stage(sets.select("doc_id", "key", "sid", "n"), "jaccard-rows")
     own = stage(members(sets), "jaccard-own")
-    few = full.join(own.select("sid").distinct(), "sid", "left_semi")
-    thin = stage(full.groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows")), "jaccard-classes")
-    classes = stage(few.dropDuplicates(["sid"]).select("sid", "n", "bits").join(thin, "sid"), "jaccard-bits")
-    grid = _grid(own)
+    drop_staged(sets)
+    classes = stage(listed(docs, thin, own), "jaccard-texts")
+    grid = _grid(own, classes)
     name = F.xxhash64("leader", F.lit(0), "chunk")
     inside = grid.select(name.alias("cell"), F.lit(0).alias("side"), "sid")
     heads = grid.filter("parts > 1").groupBy("leader", "chunk").agg(F.min("sid").alias("sid")).select(F.xxhash64("leader", F.lit(1)).alias("cell"), F.lit(0).alias("side"), "sid")
-    tested, roots = rounds(inside.unionByName(heads), None, None, classes, docs)
+    tested, roots = rounds(inside.unionByName(heads), None, None, classes)
     large = grid.filter("parts > 1")
     if not large.isEmpty():
-        tested, roots = rounds(across(large, roots), tested, roots, classes, docs)
-    named = thin.join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid"))
-    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return sets.select("doc_id", "sid", "n"), stage(named.join(least, "root").select("sid", "rows", "component_id"), "jaccard-components")
+        tested, roots = rounds(across(large, roots), tested, roots, classes)
+    return thin, roots
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -460,7 +517,7 @@ def across(large: DataFrame, roots: DataFrame) -> DataFrame:
     return sides.join(large.select("leader", "chunk", "sid"), ["leader", "chunk"]).select(F.xxhash64("leader", F.lit(2), "c", "d").alias("cell"), "side", "sid")
 
 
-def rounds(cells: DataFrame, tested: DataFrame | None, roots: DataFrame | None, classes: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def rounds(cells: DataFrame, tested: DataFrame | None, roots: DataFrame | None, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All pairs tested, with their outcome, until none is held back and no edge that
     seemed sure was wrong; and the components of the links. A round tests DOUBTS times as
     many pairs in doubt as the last."""
@@ -470,35 +527,61 @@ def rounds(cells: DataFrame, tested: DataFrame | None, roots: DataFrame | None,
         if tested is not None:
             found = found.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         found = stage(found, "jaccard-pairs")
-        now = stage(verified(found.filter("a is not null"), classes, docs), "jaccard-tested")
+        now = stage(verified(found.filter("a is not null"), classes), "jaccard-tested")
         more = not found.filter("a is null").isEmpty() or not now.filter("sure and not linked").isEmpty()
+        drop_staged(found)
         tested = now if tested is None else stage(tested.unionByName(now), "jaccard-tested")
         links = now.filter("linked")
         if roots is None or not links.isEmpty():
             roots = roots_of(links, roots)
         if not more:
+            drop_staged(cells)
             return tested, roots
         most *= DOUBTS
 
 
+@scoped
 def join(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
     Null, empty and blank texts have an empty set and stand alone, as does a row whose
-    component holds no doc_id. Rows of equal sets, repeated rows too, share a component.
+    component holds no doc_id. Rows of equal sets, repeated rows too, share a component. Only
+    ``doc_id`` and ``text`` are read, whatever the names of other columns; a long text is one row
+    of a task. Empty input gives no rows.
     """
-    rows, named = link_components(docs)
+    rows, roots = components_of(docs)
+    named = _named(rows, roots)
+    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    named = stage(named.join(least, "root").select("sid", "rows", "component_id"), "jaccard-components")
     out = hot_join(rows, named, "sid", "rows", rows.count())
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _named(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """sid, rows, doc_id (least), first (least row) and root of every class with a word."""
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
+    thin = rows.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.min(first).alias("first"), F.count("*").alias("rows"))
+    return thin.join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid")).drop("node")
+
+
+@scoped
 def one_per_group(docs: DataFrame) -> DataFrame:
-    """The document of least doc_id of each component, and all without words.
+    """The first row of each component by doc_id and text (a null doc_id comes after all others),
+    and all without words.
 
-    Rows of one doc_id and text count as one; those of one doc_id that differ in text stand
-    or fall together, and so do all rows without a doc_id.
+    A row is told by its doc_id and text: rows that repeat both count as one, those of one doc_id
+    and different texts are judged apart, and so are rows without a doc_id. All columns stay.
     """
-    stays = join(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stays")).distinct()
+    rows, roots = components_of(docs)
+    best = _named(rows, roots).groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.key")
+    stays = stage(best.unionByName(rows.filter("n = 0").select("doc_id", "key").distinct()), "jaccard-stays")
+    often = rows.groupBy("doc_id", "key").agg(F.count("*").alias("_often")).filter("_often > 1")
+    same = lambda side: F.col("_doc").eqNullSafe(side["doc_id"]) & (F.col("_text") == side["key"])
     names = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.select(F.struct(*names).alias("_row"), F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_text"))
-    return rows.join(stays, F.col("_doc").eqNullSafe(F.col("_stays")), "left_semi").dropDuplicates(["_doc", "_text"]).select("_row.*")
+    kept = docs.select(F.struct(*names).alias("_row"), F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_text"))
+    kept = kept.join(stays, same(stays), "left_semi")
+    twice = stage(often.join(stays, (often["doc_id"].eqNullSafe(stays["doc_id"])) & (often["key"] == stays["key"]), "left_semi"), "jaccard-twice")
+    if twice.isEmpty():
+        return kept.select("_row.*")
+    once = kept.join(twice, same(twice), "left_anti")
+    return once.unionByName(kept.join(twice, same(twice), "left_semi").dropDuplicates(["_doc", "_text"])).select("_row.*")
