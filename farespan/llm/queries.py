@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from farespan.llm import bayes, bpe, decontaminate, jaccard, licenses, lines, mixing, quality, sharding, substrings, urls, variants, whitening
 from farespan.llm.common import read
+from farespan.llm.sql import SQL  # noqa: F401
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,4 +69,3 @@ QUERIES = {
         op7_license_scan, op8_quality_rules, op9_quality_classifier, op10_url_filter, op11_spelling_variants, op12_byte_bpe, op13_whitening,
     )
 }
-SQL: dict[str, str] = {}
