@@ -1,12 +1,15 @@
-"""Suffix-array deduplication by prefix-free parsing.
+"""Substring deduplication by prefix-free parsing.
 
 Removes each byte covered by a LENGTH-byte string that also starts in a document with a
 smaller doc_id. Rolling-hash triggers cut every text: a TRIGGER-byte window is a trigger if
 its hash is the least in some LENGTH-byte string, so each such string holds a trigger, and
 equal strings hold the same one at the same place. A phrase is a trigger with all that a
 LENGTH-byte string around it can hold. The corpus is a parse, a list of phrases; equal
-phrases are one entry of the dictionary, and only suffixes of dictionary phrases are
-ordered, as deep as LENGTH. An occurrence is then judged by its phrase:
+phrases are one entry of the dictionary. As only matches of LENGTH bytes are asked for, and a
+phrase holds each such string round its trigger whole, no order of longer suffixes is needed:
+instead of suffix arrays of dictionary and parse, the LENGTH-byte prefixes of the dictionary's
+suffixes are compared by 64-bit hashes, trigger by trigger. An occurrence is then judged by
+its phrase:
 
 - a phrase that a smaller document has too is repeated in every string it holds;
 - of a phrase's first document, each string is compared with the equal suffixes of other
