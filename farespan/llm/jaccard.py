@@ -42,7 +42,9 @@ LOW = 0.3  # share of all hashes whose classes are counted; a prefix takes a fif
 GROUP = 4000  # sets in a signature tree
 WEIGHT = 4 << 20  # shingles of these sets
 LEAF, FAN = 8, 8
-DOUBTS = 8  # pairs in doubt tested for each set in the first round
+FIRST, DOUBTS = 8, 16  # pairs in doubt tested for each set in the first round; by how much more in each of the next
+SPARE = 4  # by how many more pairs of two components must seem sure in each of the next rounds
+SLACK = 1.02  # likely overlap over the needed one, from which a pair counts as sure
 EDGES = 1 << 16  # links that a task contracts at once
 FLUSH = 2 << 20  # hashes that a task gathers before it hands them on
 
@@ -282,7 +284,8 @@ def apart(x: Node, y: Node) -> bool:
 
 
 def compare(x: Node, y: Node) -> float:
-    """0: the sets can't link; 1: they surely seem to; between: how near they may come."""
+    """0: the sets can't link; 1: they surely seem to, as the overlap is likely SLACK times
+    what is needed; between: how near they may come."""
     if 5 * x.hi < 4 * y.hi or 5 * y.hi < 4 * x.hi:
         return 0
     size = min(len(x.bits), len(y.bits))
@@ -295,15 +298,15 @@ def compare(x: Node, y: Node) -> float:
     lone_a = only_a / max(1e-9, 1 - int(np.bitwise_count(b).sum()) / width)
     lone_b = only_b / max(1e-9, 1 - int(np.bitwise_count(a).sum()) / width)
     likely = min(x.hi - lone_a, y.hi - lone_b)
-    return 1.0 if likely >= need else max(1e-9, likely / (2 * need))
+    return 1.0 if likely >= need * SLACK else min(max(1e-9, likely / (2 * need)), 0.99)
 
 
-def tree_pairs(n: list[int], bits: list[np.ndarray], root: list, failed: list[set], side: list[int] | None = None, most: int = 1 << 30) -> tuple[list[tuple[int, int, bool]], bool]:
+def tree_pairs(n: list[int], bits: list[np.ndarray], root: list, failed: list[set], side: list[int] | None = None, most: int = 1 << 30, spare: int = 1) -> tuple[list[tuple[int, int, bool]], bool]:
     """Pairs that may link, with whether they surely seem to, skipping what is connected.
 
     ``root`` names the known component of each set, ``failed`` the sets it was found not to
-    link with. With ``side`` only pairs across the two sides are wanted. Of the pairs in
-    doubt, those are held back that have a set with ``most`` better ones; the second value
+    link with. With ``side`` only pairs across the two sides are wanted. Components count as
+    connected once ``spare`` pairs seem sure. Of the pairs in doubt, those are held back that have a set with ``most`` better ones; the second value
     tells whether any were.
     """
     up = {}
@@ -332,7 +335,7 @@ def tree_pairs(n: list[int], bits: list[np.ndarray], root: list, failed: list[se
     while len(level) > 1:
         level = [_parent(level[i : i + fan]) for i in range(0, len(level), fan)]
         fan = FAN
-    out, doubt, stack = [], [], [(level[0], level[0])]
+    out, doubt, edges, stack = [], [], {}, [(level[0], level[0])]
     while stack:
         x, y = stack.pop()
         if x is y:
@@ -351,7 +354,10 @@ def tree_pairs(n: list[int], bits: list[np.ndarray], root: list, failed: list[se
             verdict = compare(x, y)
             if verdict == 1:
                 out.append((i, j, True))
-                parent[find(i)] = find(j)
+                a, b = sorted((find(i), find(j)))
+                edges[a, b] = edges.get((a, b), 0) + 1
+                if edges[a, b] >= spare:
+                    parent[a] = b
             elif verdict:
                 doubt.append((-verdict, i, j))
     held, taken = False, [0] * len(n)
@@ -366,7 +372,7 @@ def tree_pairs(n: list[int], bits: list[np.ndarray], root: list, failed: list[se
     return out, held
 
 
-def _cells(pdf: pd.DataFrame, most: int) -> pd.DataFrame:
+def _cells(pdf: pd.DataFrame, most: int, spare: int) -> pd.DataFrame:
     """Pairs of some cells; a row without a pair tells that some were held back."""
     rows = []
     sid, n, root = pdf["sid"].to_numpy(), pdf["n"].tolist(), pdf["root"].tolist()
@@ -377,14 +383,14 @@ def _cells(pdf: pd.DataFrame, most: int) -> pd.DataFrame:
         where = {sid[i]: k for k, i in enumerate(at)}
         no = [{where[s] for s in (failed[i] if failed[i] is not None else ()) if s in where} for i in at]
         sides = [side[i] for i in at]
-        pairs, held = tree_pairs([n[i] for i in at], [bits[i] for i in at], [root[i] for i in at], no, sides if len(set(sides)) > 1 else None, most)
+        pairs, held = tree_pairs([n[i] for i in at], [bits[i] for i in at], [root[i] for i in at], no, sides if len(set(sides)) > 1 else None, most, spare)
         rows.extend((*sorted((int(sid[at[a]]), int(sid[at[b]]))), sure) for a, b, sure in pairs)
         if held:
             rows.append((None, None, False))
     return pd.DataFrame(rows, columns=["a", "b", "sure"]).astype({"a": "Int64", "b": "Int64", "sure": bool})
 
 
-def candidates(cells: DataFrame, classes: DataFrame, roots: DataFrame | None, tested: DataFrame | None, most: int) -> DataFrame:
+def candidates(cells: DataFrame, classes: DataFrame, roots: DataFrame | None, tested: DataFrame | None, most: int, spare: int) -> DataFrame:
     """(a, b, sure) from the signature tree of every cell of ``cell, side, sid``."""
     size = cells.count()
     packs = size // (2 * GROUP) + cells.sparkSession.sparkContext.defaultParallelism
@@ -394,7 +400,7 @@ def candidates(cells: DataFrame, classes: DataFrame, roots: DataFrame | None, te
     else:
         no = tested.filter("not linked").select(F.explode(F.array(F.struct(F.col("a").alias("sid"), F.col("b").alias("o")), F.struct(F.col("b").alias("sid"), F.col("a").alias("o")))).alias("p")).groupBy("p.sid").agg(F.collect_set("p.o").alias("failed"))
         rows = rows.join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid")).drop("node").join(no, "sid", "left")
-    found = rows.withColumn("_pack", F.pmod(F.xxhash64("cell"), F.lit(packs))).groupBy("_pack").applyInPandas(lambda pdf: _cells(pdf, most), "a long, b long, sure boolean")
+    found = rows.withColumn("_pack", F.pmod(F.xxhash64("cell"), F.lit(packs))).groupBy("_pack").applyInPandas(lambda pdf: _cells(pdf, most, spare), "a long, b long, sure boolean")
     return found.groupBy("a", "b").agg(F.max("sure").alias("sure"))
 
 
@@ -496,13 +502,18 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def roots_of(links: DataFrame, known: DataFrame | None) -> DataFrame:
     """node, root of the components of new links and those known before.
 
-    Runs of links are contracted to stars first, then stars meet in distributed union-find.
+    Runs of links are contracted to stars first, then stars meet in distributed union-find. If
+    there are no more than EDGES links, one run holds them all and its stars are the components.
     """
     edges = links.select("a", "b")
     if known is not None:
         edges = edges.unionByName(known.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    edges = stage(edges, "jaccard-edges")
     parts = edges.count() // EDGES + 1
-    return components(edges.repartition(parts).mapInArrow(_forest, "a long, b long"))
+    stars = edges.repartition(parts).mapInArrow(_forest, "a long, b long")
+    out = stage(stars.select(F.col("a").alias("node"), F.col("b").alias("root")) if parts == 1 else components(stars), "jaccard-roots")
+    drop_staged(edges)
+    return out
 
 
 def across(large: DataFrame, roots: DataFrame) -> DataFrame:
@@ -520,10 +531,10 @@ def across(large: DataFrame, roots: DataFrame) -> DataFrame:
 def rounds(cells: DataFrame, tested: DataFrame | None, roots: DataFrame | None, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All pairs tested, with their outcome, until none is held back and no edge that
     seemed sure was wrong; and the components of the links. A round tests DOUBTS times as
-    many pairs in doubt as the last."""
-    cells, most = stage(cells, "jaccard-cells"), DOUBTS
+    many pairs in doubt as the last, and SPARE times as many that seem sure of two components."""
+    cells, most, spare = stage(cells, "jaccard-cells"), FIRST, 1
     while True:
-        found = candidates(cells, classes, roots, tested, most)
+        found = candidates(cells, classes, roots, tested, most, spare)
         if tested is not None:
             found = found.join(tested.select("a", "b"), ["a", "b"], "left_anti")
         found = stage(found, "jaccard-pairs")
@@ -537,7 +548,7 @@ def rounds(cells: DataFrame, tested: DataFrame | None, roots: DataFrame | None,
         if not more:
             drop_staged(cells)
             return tested, roots
-        most *= DOUBTS
+        most, spare = most * DOUBTS, spare * SPARE
 
 
 @scoped
