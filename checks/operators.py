@@ -325,7 +325,7 @@ def journey_fees(t: Tables) -> DataFrame:
 JOIN t_booking_passenger p ON p.BookingID = b.BookingID JOIN t_passenger_journey_segment s ON s.PassengerID = p.PassengerID AND s.JourneyNumber = 1 AND s.SegmentNumber = 1
 JOIN t_station st ON st.StationCode = s.DepartureStation JOIN t_country c ON c.CountryCode = st.CountryCode WHERE b.Status IN (2, 3) GROUP BY ALL""")
 def point_of_sale(t: Tables) -> DataFrame:
-    return _count(px.point_of_sale(t, px.bookings(t, None, (2, 3))), "POSCountryCode", "POSCountry", "POSCurrency")
+    return _count(px.point_of_sale(t, px.booked_segments(t, px.bookings(t, None, (2, 3)))), "POSCountryCode", "POSCountry", "POSCurrency")
 
 
 @operator(f"""SELECT ar.RoleCode, {k.channel('sc.SalesChannelRpt', 'ag.OrganizationCode', 'ag.LocationCode', None)} AS SalesChannel, g.Category, g.Grouping AS SalesChannelGrouping, COUNT(*) AS n

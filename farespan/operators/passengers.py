@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,37 +57,59 @@ SEGMENT_COLUMNS = (
 )
 
 
-def passenger_fact(t: Tables, booked: DataFrame, legs: DataFrame, leg_columns: tuple[str, ...] = ("CarrierCode",),
-                   segments: DataFrame | None = None) -> DataFrame:
-    """Booking, passenger, segment, leg and inventory leg in one row per flown leg.
+def booked_segments(t: Tables, booked: DataFrame, segments: DataFrame | None = None) -> DataFrame:
+    """Booking, passenger and segment of the given bookings, whether flown or not.
 
     The joins run from the windowed bookings outwards, so each step only moves the
-    rows the window keeps; legs come last and the columns kept are pruned by use.
+    rows the window keeps.
     """
     segments = t["passenger_journey_segment"] if segments is None else segments
     passengers = t["booking_passenger"].select("PassengerID", "BookingID")
-    flown = t["passenger_journey_leg"].select("PassengerID", "SegmentID", "InventoryLegID")
-    return (
-        booked.select(*BOOKING_COLUMNS)
-        .join(passengers, "BookingID")
-        .join(segments.select(*SEGMENT_COLUMNS), "PassengerID")
-        .join(flown, ["PassengerID", "SegmentID"])
-        .join(legs.select("InventoryLegID", *leg_columns), "InventoryLegID")
-    )
+    return booked.select(*BOOKING_COLUMNS).join(passengers, "BookingID").join(segments.select(*SEGMENT_COLUMNS), "PassengerID")
+
+
+def flown(t: Tables, held: DataFrame, legs: DataFrame, leg_columns: tuple[str, ...] = ("CarrierCode",), stored: bool = False) -> DataFrame:
+    """Segments with their leg and inventory leg, in one row per flown leg.
+
+    Legs come last and the columns kept are pruned by use. Of ``stored`` segments only the range
+    of passenger ids is read.
+    """
+    own = t["passenger_journey_leg"].select("PassengerID", "SegmentID", "InventoryLegID")
+    if stored:
+        own = in_range(own, held, "PassengerID")
+    return held.join(own, ["PassengerID", "SegmentID"]).join(legs.select("InventoryLegID", *leg_columns), "InventoryLegID")
+
+
+def passenger_fact(t: Tables, booked: DataFrame, legs: DataFrame, leg_columns: tuple[str, ...] = ("CarrierCode",),
+                   segments: DataFrame | None = None) -> DataFrame:
+    """Booking, passenger, segment, leg and inventory leg in one row per flown leg."""
+    return flown(t, booked_segments(t, booked, segments), legs, leg_columns)
+
+
+#: Least and greatest id of stored frames, as long as these are in use.
+_ends: WeakKeyDictionary[DataFrame, dict[str, tuple]] = WeakKeyDictionary()
+
+
+def in_range(rows: DataFrame, people: DataFrame, key: str) -> DataFrame:
+    """Rows of a fact from the least to the greatest id of ``people``, a stored frame.
+
+    Ids are given out in order, so a window's passengers lie in a narrow range of them. Its ends
+    are literals on the scan, where they skip files and row groups.
+    """
+    known = _ends.setdefault(people, {})
+    if key not in known:
+        known[key] = people.agg(F.min(key), F.max(key)).first()
+    low, high = known[key]
+    return rows.where(F.lit(False)) if low is None else rows.where(F.col(key).between(low, high))
 
 
 def within(rows: DataFrame, people: DataFrame, *keys: str) -> DataFrame:
     """Rows of a fact whose keys occur in ``people``, a stored frame of a report's window.
 
-    Ids are given out in order, so a window's passengers lie in a narrow range of them: its ends
-    are literals on the scan, where they skip files and row groups. The semi-join then keeps
-    the very keys; it stands below whatever is aggregated, so history outside the window is
-    neither shuffled nor summed.
+    After :func:`in_range` a semi-join keeps the very keys; it stands below whatever is aggregated,
+    so history outside the window is neither shuffled nor summed.
     """
-    low, high = people.agg(F.min(keys[0]), F.max(keys[0])).first()
-    if low is None:
-        return rows.where(F.lit(False))
-    return rows.where(F.col(keys[0]).between(low, high)).join(people.select(*keys), list(keys), "left_semi")
+    return in_range(rows, people, keys[0]).join(people.select(*keys), list(keys), "left_semi")
 
 
 def journey_charges(t: Tables, known_types: bool = True, of: DataFrame | None = None) -> DataFrame:
@@ -141,21 +165,15 @@ def passenger_fees(passengers: DataFrame, fees: DataFrame, first_segment: bool =
     return passengers.join(fees, "PassengerID").where(here).withColumn("Loose", loose).drop("FeeLegID")
 
 
-def point_of_sale(t: Tables, of_bookings: DataFrame) -> DataFrame:
-    """Country and currency of each passenger's first station."""
-    passengers = t["booking_passenger"].select("PassengerID", "BookingID").join(
-        of_bookings.select("BookingID"), "BookingID", "left_semi"
-    )
-    first = t["passenger_journey_segment"].where((F.col("JourneyNumber") == 1) & (F.col("SegmentNumber") == 1))
+def point_of_sale(t: Tables, held: DataFrame) -> DataFrame:
+    """Country and currency of each passenger's first station, of :func:`booked_segments`."""
+    first = held.where((F.col("JourneyNumber") == 1) & (F.col("SegmentNumber") == 1)).select("BookingID", "PassengerID", "DepartureStation")
     station = t["station"].select(F.col("StationCode").alias("DepartureStation"), "CountryCode")
     country = t["country"].select(
         "CountryCode", F.col("Name").alias("POSCountry"), F.col("DefaultCurrencyCode").alias("POSCurrency")
     )
-    return (
-        passengers.join(first.select("PassengerID", "DepartureStation"), "PassengerID")
-        .join(station, "DepartureStation")
-        .join(country, "CountryCode")
-        .select("BookingID", "PassengerID", F.col("CountryCode").alias("POSCountryCode"), "POSCountry", "POSCurrency")
+    return first.join(station, "DepartureStation").join(country, "CountryCode").select(
+        "BookingID", "PassengerID", F.col("CountryCode").alias("POSCountryCode"), "POSCountry", "POSCurrency"
     )
 
 

@@ -96,7 +96,8 @@ def channel_report(t: Tables, window: Window, spec: ChannelSpec) -> DataFrame:
     else:
         legs = px.live_legs(t, ferry=True)
     leg_columns = ("CarrierCode", "FlightNumber") if "FlightNumber" in spec.keys else ("CarrierCode",)
-    fact = px.passenger_fact(t, booked, legs, leg_columns).withColumn("BookingDate", tf.day("BookingDate"))
+    held = stage(px.booked_segments(t, booked), "channel-segments")
+    fact = px.flown(t, held, legs, leg_columns, stored=True).withColumn("BookingDate", tf.day("BookingDate"))
     fact = ch.with_agent(fact, t, "inner")
     stations = {"DepartureStation": "DepCountryCode", "ArrivalStation": "ArrCountryCode"}
     for code, out in stations.items():
@@ -113,17 +114,16 @@ def channel_report(t: Tables, window: Window, spec: ChannelSpec) -> DataFrame:
         "DepCountry", "ArrCountry",
     ]
     kept += [c for c in ("FlightNumber", "ProductClassCode", "FareClassOfService") if c in fact.columns]
-    fact = stage(fact.select(*kept), "channel-passengers")
     charges = px.segment_sums(
-        px.journey_charges(t, of=fact),
+        px.journey_charges(t, of=held),
         {"Fare": m.bucket(m.fare_types(), m.of_code("KLIA2")), "Fuel": m.bucket(m.fuel())}, by_day=False,
     )
-    per_segment = fact.join(charges, ["PassengerID", "SegmentID"])
+    per_segment = fact.select(*kept).join(charges, ["PassengerID", "SegmentID"])
     if spec.collapse:
         # Only a later distinct can tell a repeated segment from one with the sum.
         per_segment = per_segment.groupBy(*kept, "CurrencyCode").agg(F.sum("Fare").alias("Fare"), F.sum("Fuel").alias("Fuel"))
     if spec.point_of_sale:
-        sold_at = px.point_of_sale(t, booked).drop("POSCountryCode" if not spec.collapse else "_none")
+        sold_at = px.point_of_sale(t, held).drop("POSCountryCode" if not spec.collapse else "_none")
         per_segment = per_segment.join(sold_at, ["BookingID", "PassengerID"], "left")
 
     out = ch.sales_channel(per_segment, t)
@@ -179,26 +179,32 @@ def channel_monthly(t: Tables, now: datetime, window: Window | None = None) -> D
 
 # ---------------------------------------------------------------- older reports
 
-def _segments_of_known_carriers(t: Tables, mapped: bool) -> DataFrame:
-    """Confirmed segments, mapped carrier, of carriers in the carrier table.
+def _segments_of_known_carriers(t: Tables, mapped: bool, of: DataFrame) -> DataFrame:
+    """Confirmed segments of the stored passengers, mapped carrier, of carriers in the carrier table.
 
     ``mapped`` tells whether the known carrier is tested after or before mapping.
     """
-    segments = segment_view(t).where(F.col("BookingStatus") == "HK")
+    segments = segment_view(t, of).where(F.col("BookingStatus") == "HK")
     known = t["carrier"].select("CarrierCode").distinct()
     if mapped:
         return px.remap_carrier(segments, t["carrier_mapping"]).join(known, "CarrierCode", "left_semi")
     return px.remap_carrier(segments.join(known, "CarrierCode", "left_semi"), t["carrier_mapping"])
 
 
-def _booked_segments(t: Tables, window: Window, segments: DataFrame, columns: list[str]) -> DataFrame:
-    """Segments of bookings made in a window of Malaysian time."""
+def _booked_segments(t: Tables, window: Window, mapped: bool, columns: list[str], all_routes: bool = True) -> DataFrame:
+    """Segments of bookings made in a window of Malaysian time.
+
+    The window's passengers come first, and only their segments and legs are read.
+    """
     booked = px.bookings(t, window, (2, 3), hours=8).select(
         "BookingID", "RecordLocator", "CurrencyCode", F.col("CreatedAgentID"),
         tf.plus_hours("BookingDate", 8).alias("BookedAt"),
     )
-    people = t["booking_passenger"]
-    return booked.join(people, "BookingID").join(segments.select("PassengerID", "SegmentID", *columns), "PassengerID")
+    people = stage(booked.join(t["booking_passenger"], "BookingID"), "booked-passengers")
+    segments = _segments_of_known_carriers(t, mapped, people)
+    if not all_routes:
+        segments = segments.where(~sector("DepartureStation", "ArrivalStation").isin(list(fixed.CLOSED_ROUTES)))
+    return people.join(segments.select("PassengerID", "SegmentID", *columns), "PassengerID")
 
 
 def _base_fare(t: Tables, of: DataFrame, types: tuple[int, ...] | None = (0, 8, 1, 7, 5)) -> DataFrame:
@@ -224,12 +230,9 @@ def _seats(rows: DataFrame) -> DataFrame:
 def older_channel_daily(t: Tables, now: datetime, window: Window | None = None) -> DataFrame:
     """Seats and fare by booking day, route, lead, role, channel and class."""
     window = window or windows.yesterday(windows.to_local(now, windows.MALAYSIA))
-    segments = _segments_of_known_carriers(t, mapped=False).where(
-        ~sector("DepartureStation", "ArrivalStation").isin(list(fixed.CLOSED_ROUTES))
-    )
     rows = _booked_segments(
-        t, window, segments,
-        ["DepartureStation", "ArrivalStation", "DepartureDate", "JourneyNumber", "CarrierCode", "FareClassOfService"],
+        t, window, False,
+        ["DepartureStation", "ArrivalStation", "DepartureDate", "JourneyNumber", "CarrierCode", "FareClassOfService"], all_routes=False,
     ).withColumn("BookingDate", tf.day("BookedAt"))
     rows = stage(rows, "older-daily-passengers")
     rows = rows.join(_base_fare(t, rows), ["PassengerID", "SegmentID"], "left")
@@ -262,11 +265,8 @@ def older_channel_daily(t: Tables, now: datetime, window: Window | None = None)
 def older_channel_monthly(t: Tables, as_of: datetime, window: Window | None = None) -> DataFrame:
     """Seats and fare by booking day, route, lead, role and channel since last month."""
     window = window or windows.month_before_to_date(as_of)
-    segments = _segments_of_known_carriers(t, mapped=True).where(
-        ~sector("DepartureStation", "ArrivalStation").isin(list(fixed.CLOSED_ROUTES))
-    )
     rows = _booked_segments(
-        t, window, segments, ["DepartureStation", "ArrivalStation", "DepartureDate", "JourneyNumber", "CarrierCode"]
+        t, window, True, ["DepartureStation", "ArrivalStation", "DepartureDate", "JourneyNumber", "CarrierCode"], all_routes=False
     ).withColumn("BookingDate", tf.day("BookedAt"))
     rows = stage(rows, "older-monthly-passengers")
     rows = _seats(_priced(rows.join(_base_fare(t, rows, None), ["PassengerID", "SegmentID"], "left"), t, "MYR", ["NetFare"]))
@@ -298,7 +298,7 @@ def booking_date_analysis(t: Tables, now: datetime, window: Window | None = None
     local = windows.to_local(now, windows.MALAYSIA)
     window = window or windows.yesterday(local)
     rows = _booked_segments(
-        t, window, _segments_of_known_carriers(t, mapped=False),
+        t, window, False,
         ["InventoryLegID", "DepartureStation", "ArrivalStation", "DepartureDate", "JourneyNumber", "CarrierCode", "FareClassOfService"],
     )
     rows = rows.select(
@@ -358,9 +358,8 @@ def booking_date_analysis(t: Tables, now: datetime, window: Window | None = None
 def china_market(t: Tables, as_of: datetime, now: datetime, window: Window | None = None) -> DataFrame:
     """Seats, bookings and CNY fare of Chinese, Hong Kong and Macau passengers."""
     window = window or windows.five_months_back(as_of)
-    segments = _segments_of_known_carriers(t, mapped=False)
     rows = _booked_segments(
-        t, window, segments, ["DepartureStation", "ArrivalStation", "DepartureDate", "JourneyNumber", "CarrierCode"]
+        t, window, False, ["DepartureStation", "ArrivalStation", "DepartureDate", "JourneyNumber", "CarrierCode"]
     ).where(F.col("Nationality").isin(list(fixed.CHINA_NATIONALITIES)))
     rows = rows.withColumn("BookingDate", tf.day("BookedAt")).withColumn("Age", F.lit(now.year) - F.year("DOB"))
     rows = px.with_contact(rows, t)
