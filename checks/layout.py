@@ -4,19 +4,20 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.reports import tables
-from checks.sqlkit import CHARGES, FEES, I, LEGS, M, with_standins
+from checks.report_sql import report_sql
+from checks.reports import NOW, tables
+from checks.sqlkit import FEES, I, LEGS, M, day, with_standins
 from farespan.functions import fixed, windows
 from farespan.functions.windows import Window
 from farespan.operators import capacity as cap
 from farespan.operators import money as m
 from farespan.operators import passengers as px
-from farespan.plans import channels
+from farespan.plans import channels, routes
 from farespan.sources import load, sinks
 from farespan.sources.standin import STANDINS
 from farespan.sources.tables import Tables
@@ -149,6 +150,36 @@ _export("station", "SELECT StationCode, CountryCode FROM t_station")
 _export("country", "SELECT CountryCode, Name FROM t_country")
 
 
+# ---------------------------------------------------------------- result tables
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{sinks.staging_dir(spark)}/farespan-results/{name}-{uuid.uuid4().hex}"
+
+
+@layout(f"""SELECT {day('BookingDate')} AS BookingDay, CAST(CASE WHEN BookingDate >= {MONTH} - INTERVAL 1 MONTH AND BookingDate < {TODAY} THEN COUNT(*) ELSE -COUNT(*) END AS BIGINT) AS n
+FROM t_booking GROUP BY {day('BookingDate')}, BookingDate >= {MONTH} - INTERVAL 1 MONTH AND BookingDate < {TODAY}""")
+def refreshed_days(t: Tables) -> DataFrame:
+    """A result stored by day with wrong numbers, after the rerun of the fifth of a month: the
+    days of its window are replaced, all others are as they were."""
+    window = windows.yesterday_or_month_on_day_five(RUN)
+    by_day = F.to_date("BookingDate").alias("BookingDay")
+    path = _folder(t.spark, "daily")
+    sinks.save(t["booking"].groupBy(by_day).agg((-F.count("*")).alias("n")), path, "BookingDay")
+    again = window.of(t["booking"], "BookingDate").groupBy(by_day).agg(F.count("*").alias("n"))
+    sinks.refresh_days(again, path, "BookingDay", window.start.date(), (window.end - timedelta(days=1)).date())
+    return t.spark.read.parquet(path).select("BookingDay", "n")
+
+
+def _published(t: Tables) -> DataFrame:
+    """Route revenue whose first two tables are saved on the way and read back."""
+    paths = {name: _folder(t.spark, name) for name in ("passengers", "fare_class_revenue")}
+    return routes.route_revenue(t, NOW, routes.ROUTE_D7, wanted=("inventory_revenue",), publish_to=paths)["inventory_revenue"]
+
+
+QUERIES["published_midway"] = lambda spark, sf_dir: _published(loaded_tables(spark, sf_dir))
+SQL["published_midway"] = report_sql()["report_route_revenue_d7"]
+
+
 @layout(f"""WITH {LEGS}, k AS (SELECT DISTINCT rtrim(ClassOfServiceCode) AS cls FROM t_class_of_service WHERE length(rtrim(ClassOfServiceCode)) = 1 OR rtrim(ClassOfServiceCode) IN ({', '.join(f"'{c}'" for c in fixed.GRID_CLASSES if len(c) > 1)})),
 r AS (SELECT DISTINCT l.InventoryLegID, trim(c.ClassOfService) AS cls, c.ClassNest, c.ClassAU, c.ClassSold FROM legs l JOIN t_inventory_leg_class c ON c.InventoryLegID = l.InventoryLegID
   JOIN t_city_pair cp ON cp.DepartureStation = l.DepartureStation AND cp.ArrivalStation = l.ArrivalStation WHERE l.Status <> 2),

@@ -1,5 +1,6 @@
 """Every registered query against DuckDB on the smallest driver data."""
 
+import sys
 from pathlib import Path
 
 import pytest
@@ -26,3 +27,9 @@ def test_matches_duckdb(spark, duck, name):
 
 def test_every_query_has_sql():
     assert set(NAMES) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_queries_without_the_training_data_operators(monkeypatch):
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    with pytest.warns(UserWarning, match="left out"):
+        assert set(entry.queries()) == set(NAMES)
