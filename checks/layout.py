@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.report_sql import report_sql
-from checks.reports import NOW, tables
+from checks.reports import NOW
 from checks.sqlkit import FEES, I, LEGS, M, day, with_standins
 from farespan.functions import fixed, windows
 from farespan.functions.windows import Window
@@ -18,8 +18,9 @@ from farespan.operators import capacity as cap
 from farespan.operators import money as m
 from farespan.operators import passengers as px
 from farespan.plans import channels, routes
+from farespan.session import configure
 from farespan.sources import load, sinks
-from farespan.sources.standin import STANDINS
+from farespan.sources.standin import BY_LINE, unstored
 from farespan.sources.tables import Tables
 
 #: A run in the data; the fifth of a month at 09:15, when two of the windows take another turn.
@@ -29,19 +30,32 @@ TODAY, MONTH, YEAR = (f"date_trunc('{unit}', {SQL_RUN})" for unit in ("day", "mo
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-_loaded: dict[tuple, str] = {}
+_loaded: dict[tuple[str, str], tuple[str, str, int]] = {}
+_stored: set[tuple[str, str]] = set()
+#: Line items a bucket holds at most, about; so a task's share fits its memory however many there are.
+LINES_A_BUCKET = 500_000
 
 
 def loaded_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """The airline tables, loaded once per application into a schema of their own."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    """The airline tables in a schema of their own; each is stored when it is first read, once
+    per application."""
+    spark, sf_dir = configure(spark), sf_dir.rstrip("/")
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _loaded:
+        lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-lines // LINES_A_BUCKET))
         name = f"ods_{zlib.crc32(repr(key).encode()):08x}"
         folder = f"{sinks.staging_dir(spark)}/farespan-loaded/{name}-{uuid.uuid4().hex}"
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        load.load(tables(spark, sf_dir), STANDINS, name, buckets, folder)
-        _loaded[key] = name
-    return load.loaded(spark, _loaded[key])
+        load.create(spark, name, folder)
+        _loaded[key] = (name, folder, buckets)
+    name, folder, buckets = _loaded[key]
+
+    def store(table: str) -> None:
+        if (name, table) not in _stored:
+            load.store(unstored(spark, sf_dir, buckets)[table], table, name, buckets, folder, dealt=table in BY_LINE)
+            _stored.add((name, table))
+
+    return load.loaded(spark, name, store)
 
 
 def layout(sql: str):
@@ -130,14 +144,14 @@ def colocated_fees(t: Tables) -> DataFrame:
 @layout("SELECT CarrierCode, COUNT(*) AS n FROM t_inventory_leg GROUP BY 1")
 def cross_catalog_names(t: Tables) -> DataFrame:
     """The same tables by their full name, catalogue and schema."""
-    schema = _loaded[t.spark.sparkContext.applicationId, _dir_of(t)]
+    schema = _schema_of(t["inventory_leg"])
     named = Tables.from_catalog(t.spark, f"spark_catalog.{schema}")
     return named["inventory_leg"].groupBy("CarrierCode").agg(F.count("*").alias("n"))
 
 
-def _dir_of(t: Tables) -> str:
-    name = next(f for f in t["booking"].inputFiles()).split("/farespan-loaded/")[1].split("-")[0]
-    return next(k[1] for k, v in _loaded.items() if v == name)
+def _schema_of(df: DataFrame) -> str:
+    """Schema of a loaded table, by the folder of its files."""
+    return df.inputFiles()[0].split("/farespan-loaded/")[1].split("-")[0]
 
 
 def _export(name: str, sql: str) -> None:

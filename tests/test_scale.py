@@ -1,8 +1,21 @@
 """What the operators and the stored tables move, write and spill."""
 
+from pathlib import Path
+
+import pytest
+
+from checks import layout
 from farespan.operators import passengers as px
+from farespan.sources import load, standin
 from tests.test_traps import rows
 
+SF = "/root/testdata/sf0.001"
+needs_data = pytest.mark.skipif(not Path(SF).exists(), reason="driver data not present")
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
 
 def payments(spark):
     data = [(1, 7, "MS"), (1, 3, "VS"), (2, 9, "CA"), (2, 10, "ZZ"), (None, 1, "AX"), (3, 4, None)]
@@ -14,3 +27,38 @@ def test_first_payment_of_all_bookings_or_of_the_stored_ones(spark):
     assert sorted(map(tuple, every.select("BookingID", "PaymentMethodCode").collect()), key=str) == [(1, "VS"), (2, "CA"), (3, None), (None, "AX")]
     held = spark.createDataFrame([(2,), (3,), (9,)], "BookingID long")
     assert rows(px.first_payment(payments(spark), held), "BookingID", "PaymentMethodCode") == [(2, "CA"), (3, None)]
+
+
+# ---------------------------------------------------------------- stored tables
+
+@needs_data
+def test_a_query_stores_the_tables_it_reads_alone(spark, tmp_path):
+    here = tmp_path / "sf"
+    here.mkdir()
+    for f in Path(SF).iterdir():
+        (here / f.name).symlink_to(f)
+    assert layout.QUERIES["export_station"](spark, str(here)).count() == 25
+    schema = layout._loaded[spark.sparkContext.applicationId, str(here)][0]
+    stored = {r.tableName for r in spark.sql(f"SHOW TABLES IN {schema}").collect()}
+    assert "station" in stored and not stored & {"booking", "inventory_leg", *load.BY_PASSENGER}
+
+
+@needs_data
+def test_line_items_move_once_before_they_become_charges(spark):
+    assert "Exchange" not in physical(standin.derive(spark, SF, "passenger_journey_charge"))
+    plan = physical(standin.unstored(spark, SF, 3)["passenger_journey_charge"])
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.index("Generate explode") < plan.index("Exchange hashpartitioning")
+
+
+def test_a_bucket_is_one_file_in_order(spark, tmp_path):
+    df = spark.range(0, 4000).selectExpr("pmod(id * 7919, 1000) AS PassengerID", "id AS FeeNumber").repartition(5)
+    spark.sql("DROP SCHEMA IF EXISTS one_file CASCADE")
+    load.create(spark, "one_file", str(tmp_path / "one_file"))
+    before = spark.conf.get(load.WRITERS, "0")
+    load.store(df, "passenger_fee", "one_file", 4, str(tmp_path / "one_file"))
+    assert spark.conf.get(load.WRITERS, "0") == before
+    files = sorted(str(f) for f in (tmp_path / "one_file" / "passenger_fee").glob("*.parquet"))
+    assert len(files) == 4 and spark.table("one_file.passenger_fee").count() == 4000
+    for f in files:
+        ids = [r[0] for r in spark.read.parquet(f).select("PassengerID").coalesce(1).collect()]
+        assert ids == sorted(ids)
