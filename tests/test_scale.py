@@ -4,9 +4,9 @@ from pathlib import Path
 
 import pytest
 
-from checks import layout
+from checks import layout, reports
 from farespan.operators import passengers as px
-from farespan.sources import load, standin
+from farespan.sources import load, sinks, standin
 from tests.test_traps import rows
 
 SF = "/root/testdata/sf0.001"
@@ -62,3 +62,13 @@ def test_a_bucket_is_one_file_in_order(spark, tmp_path):
     for f in files:
         ids = [r[0] for r in spark.read.parquet(f).select("PassengerID").coalesce(1).collect()]
         assert ids == sorted(ids)
+
+
+# ---------------------------------------------------------------- reports
+
+@needs_data
+def test_channel_reports_move_a_segment_once_to_be_counted(spark):
+    with sinks.staging_scope():
+        plan = physical(reports.report_queries()["report_premium_flex_monthly"](spark, SF))
+        dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "PremFlex" in line]
+        assert len(dealt) == 1 and "SegmentID" not in dealt[0]
