@@ -216,6 +216,8 @@ def ancillary_revenue(t: Tables, now: datetime, window: Window | None = None) ->
     lines = (
         px.passenger_fees(fact, fees).select(*columns)
         .union(fact.join(charges, ["PassengerID", "SegmentID"]).select(*columns))
+        # Equal lines and the lines of an item lie together, so both are found in one move.
+        .repartition("PassengerID", "SegmentID", "FeeNumber", "FeeCode")
         .distinct()
         .withColumn("Home", home_currency("CarrierCode"))
         .withColumn("CreatedDay", day("CreatedDate"))

@@ -72,3 +72,11 @@ def test_channel_reports_move_a_segment_once_to_be_counted(spark):
         plan = physical(reports.report_queries()["report_premium_flex_monthly"](spark, SF))
         dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "PremFlex" in line]
         assert len(dealt) == 1 and "SegmentID" not in dealt[0]
+
+
+@needs_data
+def test_fee_lines_move_once_for_equal_ones_and_their_sum(spark):
+    with sinks.staging_scope():
+        plan = physical(reports.report_queries()["report_ancillary_revenue"](spark, SF))
+        dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "SegmentID" in line and "FeeNumber" in line]
+        assert len(dealt) == 1
