@@ -16,10 +16,9 @@ Jaccard similarity is at least 80 %.
    undercounts. The tree is traversed against itself; a pair of nodes is dropped when its
    largest possible overlap is too small for its sizes, or when all below it is connected
    already. A leader of over GROUP sets is cut into a grid of cells.
-5. Pairs that the bitmaps can't exclude are compared exactly, on whole texts. An edge that
-   seems sure counts as connected inside the traversal; if one turns out wrong, another
-   round runs with what is known. So no link between components is lost, and a group of
-   near copies gives about as many pairs as it has sets.
+5. Pairs that the bitmaps can't exclude are compared there and then, by the whole sets, unless
+   they are connected already. Only the links that connect two components leave a cell: fewer
+   than it has sets, however many pairs come near.
 6. Distributed union-find makes components of the links.
 """
 
@@ -28,7 +27,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,10 +39,8 @@ HINT_ROWS = 8  # seen in at least so many documents
 LOW = 0.3  # share of all hashes whose classes are counted; a prefix takes a fifth
 GROUP = 4000  # sets in a signature tree
 WEIGHT = 4 << 20  # shingles of these sets
-LEAF, FAN = 8, 8
-FIRST, DOUBTS = 8, 16  # pairs in doubt tested for each set in the first round; by how much more in each of the next
-SPARE = 4  # by how many more pairs of two components must seem sure in each of the next rounds
-SLACK = 1.02  # likely overlap over the needed one, from which a pair counts as sure
+LEAF, FAN = 32, 8
+BLOCK = 1 << 20  # bitmap words that two leaves compare at once
 EDGES = 1 << 16  # links that a task contracts at once
 FLUSH = 2 << 20  # hashes that a task gathers before it hands them on
 
@@ -246,30 +242,40 @@ def members(sets: DataFrame) -> DataFrame:
 # -- signature trees -------------------------------------------------------------------
 
 class Node:
-    """OR of the bitmaps below, the range of sizes, and by how much a bitmap may undercount."""
+    """OR of the bitmaps below, the range of sizes, and by how much a bitmap may undercount. The
+    lowest nodes, leaves of the tree, hold the bitmaps of their sets in ``rows``."""
 
-    __slots__ = ("bits", "lo", "hi", "extra", "kids", "leaves", "single", "folds")
+    __slots__ = ("bits", "lo", "hi", "extra", "kids", "sets", "rows", "single", "folds")
 
-    def __init__(self, kids, leaves, bits, lo, hi, extra):
-        self.kids, self.leaves, self.bits, self.lo, self.hi, self.extra = kids, leaves, bits, lo, hi, extra
-        self.single, self.folds = len(leaves) == 1, {}
+    def __init__(self, kids, sets, rows, bits, lo, hi, extra):
+        self.kids, self.sets, self.rows, self.bits, self.lo, self.hi, self.extra = kids, sets, rows, bits, lo, hi, extra
+        self.single, self.folds = len(sets) == 1, {}
 
     def folded(self, size: int) -> tuple[np.ndarray, int]:
         """The bitmap at a smaller size, and the undercount it has there."""
         if size == len(self.bits):
             return self.bits, self.extra
         if size not in self.folds:
-            bits = self.bits.reshape(-1, size)
-            bits = np.bitwise_or.reduce(bits, axis=0)
+            bits = _fold(self.bits, size)
             lost = int(np.bitwise_count(self.bits).sum()) - int(np.bitwise_count(bits).sum())
             self.folds[size] = bits, self.extra + lost
         return self.folds[size]
 
 
+def _fold(bits: np.ndarray, size: int) -> np.ndarray:
+    return bits if len(bits) == size else np.bitwise_or.reduce(bits.reshape(-1, size), axis=0)
+
+
+def _leaf(at: list[int], n: list[int], bits: list[np.ndarray]) -> Node:
+    rows = np.stack([_fold(bits[i], min(len(bits[j]) for j in at)) for i in at])
+    extra = max(n[i] - int(c) for i, c in zip(at, np.bitwise_count(rows).sum(axis=1, dtype=np.int64)))
+    return Node([], at, rows, np.bitwise_or.reduce(rows, axis=0), min(n[i] for i in at), max(n[i] for i in at), extra)
+
+
 def _parent(kids: list[Node]) -> Node:
     size = min(len(k.bits) for k in kids)
     parts = [k.folded(size) for k in kids]
-    return Node(kids, [i for k in kids for i in k.leaves], np.bitwise_or.reduce([p[0] for p in parts]), min(k.lo for k in kids), max(k.hi for k in kids), max(p[1] for p in parts))
+    return Node(kids, [i for k in kids for i in k.sets], None, np.bitwise_or.reduce([p[0] for p in parts]), min(k.lo for k in kids), max(k.hi for k in kids), max(p[1] for p in parts))
 
 
 def most_overlap(x: Node, y: Node) -> int:
@@ -283,33 +289,37 @@ def apart(x: Node, y: Node) -> bool:
     return 5 * x.hi < 4 * y.lo or 5 * y.hi < 4 * x.lo or most_overlap(x, y) < needed(x.lo, y.lo)
 
 
-def compare(x: Node, y: Node) -> float:
-    """0: the sets can't link; 1: they surely seem to, as the overlap is likely SLACK times
-    what is needed; between: how near they may come."""
-    if 5 * x.hi < 4 * y.hi or 5 * y.hi < 4 * x.hi:
-        return 0
-    size = min(len(x.bits), len(y.bits))
-    a, b = x.folded(size)[0], y.folded(size)[0]
-    only_a, only_b = int(np.bitwise_count(a & ~b).sum()), int(np.bitwise_count(b & ~a).sum())
-    need = needed(x.hi, y.hi)
-    if min(x.hi - only_a, y.hi - only_b) < need:
-        return 0
-    width = 64 * size
-    lone_a = only_a / max(1e-9, 1 - int(np.bitwise_count(b).sum()) / width)
-    lone_b = only_b / max(1e-9, 1 - int(np.bitwise_count(a).sum()) / width)
-    likely = min(x.hi - lone_a, y.hi - lone_b)
-    return 1.0 if likely >= need * SLACK else min(max(1e-9, likely / (2 * need)), 0.99)
-
-
-def tree_pairs(n: list[int], bits: list[np.ndarray], root: list, failed: list[set], side: list[int] | None = None, most: int = 1 << 30, spare: int = 1) -> tuple[list[tuple[int, int, bool]], bool]:
-    """Pairs that may link, with whether they surely seem to, skipping what is connected.
-
-    ``root`` names the known component of each set, ``failed`` the sets it was found not to
-    link with. With ``side`` only pairs across the two sides are wanted. Components count as
-    connected once ``spare`` pairs seem sure. Of the pairs in doubt, those are held back that have a set with ``most`` better ones; the second value
-    tells whether any were.
+def _at_size(rows: np.ndarray, size: int) -> np.ndarray:
+    return rows if rows.shape[1] == size else np.bitwise_or.reduce(rows.reshape(len(rows), -1, size), axis=1)
+
+
+def near(x: Node, y: Node, n: np.ndarray) -> np.ndarray:
+    """For each set of a leaf and each of another the most that they may share, or -1 if they can't link."""
+    size = min(x.rows.shape[1], y.rows.shape[1])
+    a, b = _at_size(x.rows, size), _at_size(y.rows, size)
+    step = max(1, BLOCK // b.size)
+    both = np.concatenate([np.bitwise_count(a[i : i + step, None] & b[None]).sum(axis=2, dtype=np.int64) for i in range(0, len(a), step)])
+    n_a, n_b = n[x.sets][:, None], n[y.sets][None]
+    only_a = np.bitwise_count(a).sum(axis=1, dtype=np.int64)[:, None] - both
+    only_b = np.bitwise_count(b).sum(axis=1, dtype=np.int64)[None] - both
+    most = np.minimum(n_a - only_a, n_b - only_b)
+    return np.where((5 * n_a >= 4 * n_b) & (5 * n_b >= 4 * n_a) & (most >= -(-80 * (n_a + n_b) // 180)), most, -1)
+
+
+def links(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets of distinct hashes, sorted, are similar enough."""
+    all_ = np.concatenate([x, y])
+    all_.sort(kind="stable")
+    return int((all_[1:] == all_[:-1]).sum()) >= needed(len(x), len(y))
+
+
+def tree_links(sets: list[np.ndarray], root: list, side: list[int] | None = None) -> list[tuple[int, int]]:
+    """Links that connect the components of these sets: fewer than there are sets.
+
+    ``root`` names the known component of each set. With ``side`` only pairs across the two
+    sides are wanted.
     """
-    up = {}
+    up, n = {}, [len(s) for s in sets]
     parent = [up.setdefault(r, i) for i, r in enumerate(root)]
 
     def find(i: int) -> int:
@@ -319,125 +329,98 @@ def tree_pairs(n: list[int], bits: list[np.ndarray], root: list, failed: list[se
         return i
 
     def connected(x: Node, y: Node) -> bool:
-        r = find(x.leaves[0])
+        r = find(x.sets[0])
         for node in (x,) if x is y else (x, y):
-            if find(node.leaves[0]) != r:
+            if find(node.sets[0]) != r:
                 return False
             if not node.single:
-                if any(find(i) != r for i in node.leaves):
+                if any(find(i) != r for i in node.sets):
                     return False
                 node.single = True
         return True
 
+    bits, sizes, sides = [bitmap(s) for s in sets], np.array(n), np.array(side) if side else None
     order = sorted(range(len(n)), key=lambda i: (side[i] if side else 0, n[i], i))
-    level = [Node([], [i], bits[i], n[i], n[i], n[i] - int(np.bitwise_count(bits[i]).sum())) for i in order]
-    fan = LEAF
+    level = [_leaf(order[i : i + LEAF], n, bits) for i in range(0, len(order), LEAF)]
     while len(level) > 1:
-        level = [_parent(level[i : i + fan]) for i in range(0, len(level), fan)]
-        fan = FAN
-    out, doubt, edges, stack = [], [], {}, [(level[0], level[0])]
+        level = [_parent(level[i : i + FAN]) for i in range(0, len(level), FAN)]
+    out, stack = [], [(level[0], level[0])]
     while stack:
         x, y = stack.pop()
-        if x is y:
-            if x.kids and not connected(x, x):
-                stack.extend((x.kids[i], x.kids[j]) for i in range(len(x.kids)) for j in range(i, len(x.kids)))
-        elif connected(x, y):
+        if connected(x, y):
             continue
+        if x is y and x.kids:
+            stack.extend((x.kids[i], x.kids[j]) for i in range(len(x.kids)) for j in range(i, len(x.kids)))
         elif x.kids or y.kids:
             if not apart(x, y):
-                a, b = (x, y) if len(x.leaves) >= len(y.leaves) else (y, x)
+                a, b = (x, y) if len(x.sets) >= len(y.sets) else (y, x)
                 stack.extend((k, b) for k in a.kids)
-        else:
-            i, j = x.leaves[0], y.leaves[0]
-            if (side and side[i] == side[j]) or j in failed[i]:
+        elif x is y or not apart(x, y):
+            wanted = np.array([find(i) for i in x.sets])[:, None] != np.array([find(i) for i in y.sets])[None]
+            if side:
+                wanted &= sides[x.sets][:, None] != sides[y.sets][None]
+            if not wanted.any():
                 continue
-            verdict = compare(x, y)
-            if verdict == 1:
-                out.append((i, j, True))
-                a, b = sorted((find(i), find(j)))
-                edges[a, b] = edges.get((a, b), 0) + 1
-                if edges[a, b] >= spare:
+            most = near(x, y, sizes)
+            wanted &= most >= 0
+            if x is y:
+                wanted = np.triu(wanted, 1)
+            p, q = np.nonzero(wanted)
+            for k in np.argsort(-most[p, q], kind="stable"):  # those that are likeliest to connect first
+                i, j = x.sets[p[k]], y.sets[q[k]]
+                a, b = find(i), find(j)
+                if a != b and links(sets[i], sets[j]):
+                    out.append((i, j))
                     parent[a] = b
-            elif verdict:
-                doubt.append((-verdict, i, j))
-    held, taken = False, [0] * len(n)
-    for _, i, j in sorted(doubt):
-        if find(i) != find(j):
-            if max(taken[i], taken[j]) < most:
-                taken[i] += 1
-                taken[j] += 1
-                out.append((i, j, False))
-            else:
-                held = True
-    return out, held
-
-
-def _cells(pdf: pd.DataFrame, most: int, spare: int) -> pd.DataFrame:
-    """Pairs of some cells; a row without a pair tells that some were held back."""
-    rows = []
-    sid, n, root = pdf["sid"].to_numpy(), pdf["n"].tolist(), pdf["root"].tolist()
-    bits = [np.frombuffer(x, dtype=A.U) for x in pdf["bits"]]
-    failed, side = pdf["failed"].tolist(), pdf["side"].tolist()
-    for _, at in pdf.groupby("cell").indices.items():
-        at = sorted(at, key=lambda i: sid[i])
-        where = {sid[i]: k for k, i in enumerate(at)}
-        no = [{where[s] for s in (failed[i] if failed[i] is not None else ()) if s in where} for i in at]
-        sides = [side[i] for i in at]
-        pairs, held = tree_pairs([n[i] for i in at], [bits[i] for i in at], [root[i] for i in at], no, sides if len(set(sides)) > 1 else None, most, spare)
-        rows.extend((*sorted((int(sid[at[a]]), int(sid[at[b]]))), sure) for a, b, sure in pairs)
-        if held:
-            rows.append((None, None, False))
-    return pd.DataFrame(rows, columns=["a", "b", "sure"]).astype({"a": "Int64", "b": "Int64", "sure": bool})
-
-
-def candidates(cells: DataFrame, classes: DataFrame, roots: DataFrame | None, tested: DataFrame | None, most: int, spare: int) -> DataFrame:
-    """(a, b, sure) from the signature tree of every cell of ``cell, side, sid``."""
-    size = cells.count()
-    packs = size // (2 * GROUP) + cells.sparkSession.sparkContext.defaultParallelism
-    rows = cells.join(classes.select("sid", "n", "bits"), "sid")
+    return out
+
+
+def _cells(table: pa.Table) -> pa.Table:
+    """Links of some cells, each by itself."""
+    sid, cell, root, side = (table.column(c).to_numpy() for c in ("sid", "cell", "root", "side"))
+    sets = [np.frombuffer(x.as_buffer(), dtype=A.U) for x in table.column("hashes")]
+    order = np.lexsort((sid, cell))
+    edge = np.r_[np.flatnonzero(np.r_[True, np.diff(cell[order]) != 0]), len(order)]
+    a, b = [], []
+    for at in (order[i:j] for i, j in zip(edge[:-1], edge[1:])):
+        sides = side[at].tolist()
+        for i, j in tree_links([sets[k] for k in at], root[at].tolist(), sides if len(set(sides)) > 1 else None):
+            a.append(min(sid[at[i]], sid[at[j]]))
+            b.append(max(sid[at[i]], sid[at[j]]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def links_in(cells: DataFrame, classes: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(a, b) of the links that the signature tree of each cell of ``cell, side, sid, n`` finds."""
+    cells = stage(cells, "jaccard-cells")
+    rows, weight = cells.agg(F.count("*"), F.sum("n")).first()
+    packs = max(rows // (2 * GROUP), (weight or 0) // WEIGHT) + cells.sparkSession.sparkContext.defaultParallelism
+    sets = cells.drop("n").join(classes.select("sid", "hashes"), "sid")
     if roots is None:
-        rows = rows.withColumn("root", F.col("sid")).withColumn("failed", F.lit(None).cast("array<long>"))
+        sets = sets.withColumn("root", F.col("sid"))
     else:
-        no = tested.filter("not linked").select(F.explode(F.array(F.struct(F.col("a").alias("sid"), F.col("b").alias("o")), F.struct(F.col("b").alias("sid"), F.col("a").alias("o")))).alias("p")).groupBy("p.sid").agg(F.collect_set("p.o").alias("failed"))
-        rows = rows.join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid")).drop("node").join(no, "sid", "left")
-    found = rows.withColumn("_pack", F.pmod(F.xxhash64("cell"), F.lit(packs))).groupBy("_pack").applyInPandas(lambda pdf: _cells(pdf, most, spare), "a long, b long, sure boolean")
-    return found.groupBy("a", "b").agg(F.max("sure").alias("sure"))
+        sets = sets.join(roots, F.col("sid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "sid")).drop("node")
+    sets = sets.withColumn("_pack", F.pmod(F.xxhash64("cell"), F.lit(packs)))
+    out = stage(sets.groupBy("_pack").applyInArrow(_cells, "a long, b long"), "jaccard-links")
+    drop_staged(cells)
+    return out
 
 
 def listed(docs: DataFrame, thin: DataFrame, own: DataFrame) -> DataFrame:
-    """sid, n, bits, text of one document of each class that is listed anywhere."""
+    """sid, n, hashes of one document of each class that is listed anywhere."""
     wanted = own.select("sid").distinct().join(thin.filter("n > 0"), "sid")
     wanted = wanted.groupBy("sid").agg(F.min(F.struct("key", "doc_id")).alias("of")).select("sid", F.col("of.key").alias("key"), F.col("of.doc_id").alias("_doc"))
     rows = docs.select(F.xxhash64("text").alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = rows.join(wanted, (rows["key"] == wanted["key"]) & rows["doc_id"].eqNullSafe(F.col("_doc"))).select("sid", "text")
-    return rows.dropDuplicates(["sid"]).mapInArrow(_bitmaps, "sid long, n long, bits binary, text string")
+    return rows.dropDuplicates(["sid"]).mapInArrow(_hashes, "sid long, n long, hashes binary")
 
 
-def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in A.pieces(batch, "text"):
             sets = list(A.shingle_sets(part.column("text")))
-            n, bits = pa.array([len(s) for s in sets], pa.int64()), pa.array([bitmap(s).tobytes() for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column("sid"), n, bits, part.column("text")], ["sid", "n", "bits", "text"])
-
-
-def verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b, sure, linked) by the exact similarity of the whole texts."""
-    rows = (
-        pairs.join(classes.select(F.col("sid").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(classes.select(F.col("sid").alias("b"), F.col("text").alias("text_b")), "b")
-    )
-    return rows.select("a", "b", "sure", "text_a", "text_b").mapInArrow(_exact, "a long, b long, sure boolean, linked boolean")
-
-
-def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in A.pieces(batch, "text_a"):
-            linked = []
-            for x, y in zip(A.shingle_sets(part.column("text_a")), A.shingle_sets(part.column("text_b"))):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(100 * both >= 80 * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([part.column(c) for c in ("a", "b", "sure")] + [pa.array(linked, pa.bool_())], ["a", "b", "sure", "linked"])
+            n, hashes = pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("sid"), n, hashes], ["sid", "n", "hashes"])
 
 
 # -- the join ----------------------------------------------------------------------------
@@ -449,7 +432,7 @@ def _grid(own: DataFrame, classes: DataFrame) -> DataFrame:
     sizes = stage(own.groupBy("leader").agg(F.count("*").alias("_n"), F.sum("n").alias("_weight")), "jaccard-leaders")
     out = hot_join(own, sizes, "leader", "_n", own.count())
     parts = F.least(F.greatest(F.ceil(F.col("_n") / GROUP), F.ceil(F.col("_weight") / WEIGHT)), F.col("_n"))
-    out = stage(out.select("leader", "sid", parts.alias("parts"), F.pmod(F.xxhash64("sid"), parts).alias("chunk")), "jaccard-members")
+    out = stage(out.select("leader", "sid", "n", parts.alias("parts"), F.pmod(F.xxhash64("sid"), parts).alias("chunk")), "jaccard-members")
     drop_staged(own)
     return out
 
@@ -460,15 +443,17 @@ def components_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     thin = stage(sets.select("doc_id", "key", "sid", "n"), "jaccard-rows")
     own = stage(members(sets), "jaccard-own")
     drop_staged(sets)
-    classes = stage(listed(docs, thin, own), "jaccard-texts")
+    classes = stage(listed(docs, thin, own), "jaccard-classes")
     grid = _grid(own, classes)
     name = F.xxhash64("leader", F.lit(0), "chunk")
-    inside = grid.select(name.alias("cell"), F.lit(0).alias("side"), "sid")
-    heads = grid.filter("parts > 1").groupBy("leader", "chunk").agg(F.min("sid").alias("sid")).select(F.xxhash64("leader", F.lit(1)).alias("cell"), F.lit(0).alias("side"), "sid")
-    tested, roots = rounds(inside.unionByName(heads), None, None, classes)
+    inside = grid.select(name.alias("cell"), F.lit(0).alias("side"), "sid", "n")
+    first = grid.filter("parts > 1").groupBy("leader", "chunk").agg(F.min(F.struct("sid", "n")).alias("of"))
+    heads = first.select(F.xxhash64("leader", F.lit(1)).alias("cell"), F.lit(0).alias("side"), "of.sid", "of.n")
+    roots = roots_of(links_in(inside.unionByName(heads), classes, None), None)
     large = grid.filter("parts > 1")
     if not large.isEmpty():
-        tested, roots = rounds(across(large, roots), tested, roots, classes)
+        more = links_in(across(large, roots), classes, roots)
+        roots = roots if more.isEmpty() else roots_of(more, roots)
     return thin, roots
 
 
@@ -525,30 +510,7 @@ def across(large: DataFrame, roots: DataFrame) -> DataFrame:
         ~((F.col("x.lo") == F.col("x.hi")) & (F.col("y.lo") == F.col("y.hi")) & (F.col("x.lo") == F.col("y.lo")))
     ).select(F.col("x.leader").alias("leader"), F.col("x.chunk").alias("c"), F.col("y.chunk").alias("d"))
     sides = pairs.select("leader", "c", "d", F.explode(F.array(F.struct(F.col("c").alias("chunk"), F.lit(0).alias("side")), F.struct(F.col("d").alias("chunk"), F.lit(1).alias("side")))).alias("p")).select("leader", "c", "d", "p.*")
-    return sides.join(large.select("leader", "chunk", "sid"), ["leader", "chunk"]).select(F.xxhash64("leader", F.lit(2), "c", "d").alias("cell"), "side", "sid")
-
-
-def rounds(cells: DataFrame, tested: DataFrame | None, roots: DataFrame | None, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All pairs tested, with their outcome, until none is held back and no edge that
-    seemed sure was wrong; and the components of the links. A round tests DOUBTS times as
-    many pairs in doubt as the last, and SPARE times as many that seem sure of two components."""
-    cells, most, spare = stage(cells, "jaccard-cells"), FIRST, 1
-    while True:
-        found = candidates(cells, classes, roots, tested, most, spare)
-        if tested is not None:
-            found = found.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        found = stage(found, "jaccard-pairs")
-        now = stage(verified(found.filter("a is not null"), classes), "jaccard-tested")
-        more = not found.filter("a is null").isEmpty() or not now.filter("sure and not linked").isEmpty()
-        drop_staged(found)
-        tested = now if tested is None else stage(tested.unionByName(now), "jaccard-tested")
-        links = now.filter("linked")
-        if roots is None or not links.isEmpty():
-            roots = roots_of(links, roots)
-        if not more:
-            drop_staged(cells)
-            return tested, roots
-        most, spare = most * DOUBTS, spare * SPARE
+    return sides.join(large.select("leader", "chunk", "sid", "n"), ["leader", "chunk"]).select(F.xxhash64("leader", F.lit(2), "c", "d").alias("cell"), "side", "sid", "n")
 
 
 @scoped

@@ -1,6 +1,7 @@
 """Keeping one row of each group where ids are missing or shared; prefixes and hints."""
 
 import numpy as np
+import pyarrow as pa
 
 from farespan.llm import jaccard
 from tests.llm.conftest import prose
@@ -56,3 +57,43 @@ def test_prefixes_of_linked_sets_share_a_shingle(spark):
         finally:
             jaccard.HINT_ROWS = held
         assert got == {i: find(i) for i in range(len(texts))}
+
+
+def _threads(links, n):
+    up = list(range(n))
+
+    def find(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, j in links:
+        x, y = sorted((find(i), find(j)))
+        up[y] = x
+    return [find(i) for i in range(n)]
+
+
+def _borderline(count):
+    """Sets of 200 shingles that share 178 to 194 with one base, most pairs a little under the limit."""
+    rng = np.random.default_rng(11)
+    base = rng.integers(0, 1 << 63, 200).astype(np.uint64)
+    return [np.unique(np.r_[base[rng.permutation(200)[:k]], rng.integers(0, 1 << 63, 200 - k).astype(np.uint64)]) for k in rng.integers(178, 195, count)]
+
+
+def test_a_cell_gives_fewer_links_than_sets():
+    """Near copies whose similarity lies round the limit: their pairs are tested inside the cell."""
+    sets = _borderline(150)
+    n = len(sets)
+    linked = [(i, j) for i in range(n) for j in range(i) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))]
+    assert 2 * n < len(linked) < n * n / 4
+    ids = np.arange(n, dtype=np.int64)
+    table = {"sid": np.r_[ids, ids], "cell": np.repeat([5, 6], n), "side": np.r_[np.zeros(n, np.int64), ids % 2], "root": np.r_[ids, ids], "hashes": pa.array([s.tobytes() for s in sets * 2], pa.binary())}
+    out = jaccard._cells(pa.table(table)).to_pydict()
+    got = list(zip(out["a"], out["b"]))
+    assert set(got) <= {(j, i) for i, j in linked} and len(got) < 2 * n
+    want = _threads(linked, n)
+    one = jaccard.tree_links(sets, list(range(n)))
+    assert _threads(one, n) == want and len(one) == n - len(set(want))
+    two = jaccard.tree_links(sets, list(range(n)), (ids % 2).tolist())
+    assert _threads(two, n) == _threads([(i, j) for i, j in linked if (i - j) % 2], n)
+    assert jaccard.tree_links(sets, want) == []  # connected already
