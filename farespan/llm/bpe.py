@@ -33,7 +33,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType
 from farespan.llm import arrays as A
 
 LEAF = 4  # bytes that are merged directly
-GATHER = 1024  # ids whose bytes are put together at once
+GATHER = 1 << 16  # ids whose bytes are put together at once
 KNOWN = 1 << 18  # entries of each of a worker's memories; beyond it the older half goes
 ROWS = 256  # rows decoded together
 REMEMBERED = 64  # characters of the longest chunk that is remembered
@@ -71,6 +71,7 @@ class Codec:
         self.bytes: list[bytes | None] = [None] * (max(self.ranks.values()) + 1)
         for data, i in self.ranks.items():
             self.bytes[i] = data
+        self.table = pa.array(self.bytes, pa.binary())
         self.split = regex.compile(pattern)
         # Whether blanks part matches and letters stay together, as in the usual patterns.
         self.blanks = self.split.findall("Ab cD, x") == ["Ab", " cD", ",", " x"]
@@ -181,15 +182,20 @@ class Codec:
         out.append(held)
         return b"".join([(self.parts[x[1:]] if x[:1] == " " else None) or self.matches(x) for x in out])
 
-    def decode(self, ids: Sequence[int]) -> bytes:
-        """Bytes of ids, put together up a tree of halves; a KeyError for an unknown one."""
-        if len(ids) <= GATHER:
-            try:
-                return b"".join([self.bytes[i] for i in ids])
-            except (IndexError, TypeError):
-                raise KeyError("unknown id") from None
-        half = len(ids) // 2
-        return self.decode(ids[:half]) + self.decode(ids[half:])
+    def decode(self, ids: Sequence[int] | pa.Array) -> bytes:
+        """Bytes of ids, put together up a tree of halves; a KeyError for a null or unknown one."""
+        if len(ids) > GATHER:
+            half = len(ids) // 2
+            return self.decode(ids[:half]) + self.decode(ids[half:])
+        try:
+            found = self.table.take(ids if isinstance(ids, pa.Array) else pa.array(ids, pa.int64()))
+        except (IndexError, TypeError, pa.ArrowException):
+            raise KeyError("unknown id") from None
+        if found.null_count:
+            raise KeyError("unknown id")
+        _, offsets, data = found.buffers()
+        ends = np.frombuffer(offsets, dtype="<i4")[[found.offset, found.offset + len(found)]] if len(found) else (0, 0)
+        return data[ends[0] : ends[1]].to_pybytes() if data else b""
 
 
 _codecs: dict[tuple[int, str], Codec] = {}
@@ -247,9 +253,8 @@ def decode(rows: DataFrame, path: str, pattern: str, ids: str = "ids", out: str
             for at in range(0, batch.num_rows, ROWS):
                 part, made = batch.slice(at, ROWS), []
                 for listed in part.column(out):
-                    ids_ = listed.values.to_pylist() if listed.is_valid else []
                     try:
-                        made.append(codec.decode(ids_) if None not in ids_ and min(ids_, default=0) >= 0 else None)
+                        made.append(codec.decode(listed.values) if listed.is_valid else b"")
                     except KeyError:
                         made.append(None)
                 yield pa.RecordBatch.from_arrays([*map(part.column, names), pa.array(made, pa.binary())], [*names, out])

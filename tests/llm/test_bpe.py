@@ -94,3 +94,17 @@ def test_empty_table_and_unknown_ids(spark):
     assert bpe.round_trip(spark.createDataFrame([], "doc_id long, text string"), PATH, PATTERN).collect() == []
     odd = spark.createDataFrame([(1, [0, 99_999_999]), (2, None), (3, []), (4, [0, None])], "k long, ids array<int>")
     assert {r.k: r.bytes and bytes(r.bytes) for r in bpe.decode(odd, PATH, PATTERN).collect()} == {1: None, 2: b"", 3: b"", 4: None}
+
+
+def test_ids_are_decoded_where_they_lie(codec, monkeypatch):
+    """An Arrow array needs no Python number for each id; ids below zero are unknown like others."""
+    import pyarrow as pa
+
+    listed = ids(codec, "größer, und so weiter " * 40)
+    for gather in (1 << 16, 7, 1):
+        monkeypatch.setattr(bpe, "GATHER", gather)
+        assert codec.decode(pa.array([0, *listed, 0], pa.int32())[1:-1]) == codec.decode(listed) == ("größer, und so weiter " * 40).encode()
+        for unknown in ([5, -1], [5, None], [None], [2**40]):
+            with pytest.raises(KeyError):
+                codec.decode(unknown)
+    assert codec.decode([]) == codec.decode(pa.array([], pa.int32())) == b""
