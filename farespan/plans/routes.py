@@ -83,7 +83,7 @@ ROUTE_XJ = RouteSpec(
 def _segment_totals(t: Tables, of: DataFrame, single: dict, summed: dict, by_matrix: bool, fanout: str) -> DataFrame:
     """Charge buckets of the stored segments."""
     charges = t["passenger_journey_charge"].select("PassengerID", "SegmentID", "ChargeNumber", "ChargeType", "ChargeCode", "ChargeAmount")
-    charges = px.within(charges, of, "PassengerID", "SegmentID")
+    charges = px.around(charges, of, "PassengerID", "SegmentID")
     amount = None
     if by_matrix:
         charges = m.signed_by_matrix(charges, t["charge_type_matrix"], "left")

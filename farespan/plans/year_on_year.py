@@ -78,7 +78,7 @@ def priced_segments(t: Tables, spec: CompareSpec, departs: Window) -> DataFrame:
     )
     seg = stage(seg, f"compare-{spec.name}-flown")
     charges = t["passenger_journey_charge"].select("PassengerID", "SegmentID", "ChargeNumber", "ChargeType", "ChargeCode", "ChargeAmount")
-    charges = px.within(charges, seg, "PassengerID", "SegmentID")
+    charges = px.around(charges, seg, "PassengerID", "SegmentID")
     # A row that is both the first charge and a discount counts in both, so parts stay apart.
     less = [m.of_type(1), m.of_type(7)]
     totals = m.segment_charges(

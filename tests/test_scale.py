@@ -3,6 +3,7 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks import layout, reports
 from farespan.operators import passengers as px
@@ -29,6 +30,49 @@ def test_first_payment_of_all_bookings_or_of_the_stored_ones(spark):
     assert rows(px.first_payment(payments(spark), held), "BookingID", "PaymentMethodCode") == [(2, "CA"), (3, None)]
 
 
+def charges(spark):
+    data = [(p, s, "MYR", "FARE", 0, p) for p in range(-3, 40) for s in (1, 2)] * 2 + [(None, 1, "MYR", "FARE", 0, 9), (5, None, "MYR", "FARE", 0, 9)]
+    row = "PassengerID long, SegmentID long, CurrencyCode string, ChargeCode string, ChargeType int, Amount long"
+    return spark.createDataFrame(data, row).withColumn("Amount", F.col("Amount").cast("decimal(18,4)"))
+
+
+@pytest.mark.parametrize("most, blocks", [(100, 4), (2, 4), (2, 100)])
+def test_charges_are_summed_where_they_are_read(spark, monkeypatch, most, blocks):
+    """Whether a window's segments or blocks of ids are sent out, its segments get the same sums, and no charge moves before them."""
+    held = [(-3, 1), (5, 2), (5, 2), (17, 1), (33, 2), (None, 1), (6, None), (900, 1)]
+    held = spark.createDataFrame(held, "PassengerID long, SegmentID long").persist()
+    keys = ["PassengerID", "SegmentID"]
+    sums = {"Fare": F.sum("Amount")}
+    want = held.join(px.segment_sums(px.within(charges(spark), held, *keys), sums, by_day=False), keys, "left")
+    monkeypatch.setattr(px, "PEOPLE_ROWS", most)
+    monkeypatch.setattr(px, "BLOCKS", blocks)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = px.segment_sums(px.around(charges(spark), held, *keys), sums, by_day=False)
+        plan = physical(got)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(PassengerID" in line]
+    assert len(moved) == 1 and plan.index("partial_sum") > plan.index("Exchange hashpartitioning(PassengerID")
+    assert sorted(map(str, held.join(got, keys, "left").collect())) == sorted(map(str, want.collect()))
+    held.unpersist()
+
+
+def test_a_join_on_more_keys_takes_rows_dealt_by_passenger(spark):
+    """Fees that met a window's passengers lie by passenger; joining them fee by fee moves neither side again."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fee = spark.range(50).selectExpr("id div 3 AS PassengerID", "id AS FeeNumber")
+        people = spark.range(9).selectExpr("id AS PassengerID")
+        near = [fee.join(people, "PassengerID", "left_semi") for _ in range(2)]
+        plan = physical(near[0].join(near[1], ["PassengerID", "FeeNumber"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(PassengerID") >= 2 and "Exchange hashpartitioning(PassengerID#" in plan
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "FeeNumber" in line.split("hashpartitioning")[1].split(")")[0]]
+
+
 # ---------------------------------------------------------------- stored tables
 
 @needs_data
@@ -74,6 +118,14 @@ def test_channel_reports_move_a_segment_once_to_be_counted(spark):
         assert len(dealt) == 1 and "SegmentID" not in dealt[0]
 
 
+@needs_data
+def test_booking_date_analysis_moves_rows_before_they_are_labelled(spark):
+    with sinks.staging_scope():
+        plan = physical(reports.report_queries()["report_booking_date_analysis"](spark, SF))
+        dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "Nationality" in line]
+        assert len(dealt) == 1 and "REPARTITION_BY_COL" in dealt[0]
+
+
 @needs_data
 def test_fee_lines_move_once_for_equal_ones_and_their_sum(spark):
     with sinks.staging_scope():
