@@ -240,7 +240,9 @@ def _fx(t: Tables, mode: str, home: str, charged: str = "CurrencyCode", on: str
     charge = t["passenger_journey_charge"].select("PassengerID", "SegmentID", "CurrencyCode", "CreatedDate", "ChargeAmount")
     people = t["booking_passenger"].select("PassengerID", "BookingID")
     booking = t["booking"].select("BookingID", "BookingDate", F.col("CurrencyCode").alias("BookingCurrency"))
-    rows = charge.join(seg, ["PassengerID", "SegmentID"]).join(people, "PassengerID").join(booking, "BookingID")
+    # Charges come last: they are by far the most rows and move once, by passenger, where segments then lie.
+    held = seg.join(people.join(booking, "BookingID"), "PassengerID")
+    rows = charge.join(held, ["PassengerID", "SegmentID"])
     rows = rows.withColumn("Home", keys.home_currency("CarrierCode")).withColumn("On", tf.day(on))
     out = m.convert(rows, t["fx_history"], ["ChargeAmount"], home=home, charged=charged, on="On", mode=mode, suffix="C")
     return out.groupBy("CarrierCode", F.col(charged).alias("CurrencyCode")).agg(

@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from checks import layout, reports
+from checks import layout, operators, reports
 from farespan.operators import passengers as px
 from farespan.sources import load, sinks, standin
 from tests.test_traps import rows
@@ -118,6 +118,24 @@ def test_channel_reports_move_a_segment_once_to_be_counted(spark):
         assert len(dealt) == 1 and "SegmentID" not in dealt[0]
 
 
+@needs_data
+def test_converted_charges_move_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical(operators.QUERIES["fx_local"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "Scan parquet" in line and "ChargeAmount" in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    over, least = [], depth(lines[at])
+    for line in lines[:at][::-1]:
+        if depth(line) < least:
+            over, least = [*over, line], depth(line)
+    moves = [line for line in over if "Exchange hashpartitioning" in line]
+    assert len([line for line in moves if "CarrierCode" not in line]) == 1
+
+
 @needs_data
 def test_booking_date_analysis_moves_rows_before_they_are_labelled(spark):
     with sinks.staging_scope():
