@@ -11,7 +11,7 @@ from farespan.functions import fixed
 from farespan.functions.timefn import day
 from farespan.functions.windows import Window
 from farespan.operators.money import signed_by_matrix
-from farespan.sources.tables import Tables
+from farespan.sources.tables import Tables, by_rows
 
 
 def remap_carrier(df: DataFrame, mapping: DataFrame, carrier: str = "CarrierCode", flight: str = "FlightNumber",
@@ -222,7 +222,14 @@ def first_payment(payments: DataFrame, of: DataFrame | None = None) -> DataFrame
     rows = payments.withColumnRenamed("ReferenceID", "BookingID")
     if of is not None:
         rows = within(rows, of, "BookingID")
-    return rows.groupBy("BookingID").agg(F.min_by("PaymentMethodCode", "PaymentID").alias("PaymentMethodCode"))
+    first = rows.groupBy("BookingID").agg(F.min_by("PaymentMethodCode", "PaymentID").alias("PaymentMethodCode"))
+    return by_rows(first, payments if of is None else _end(of, "BookingID")[2])
+
+
+def travel_documents(t: Tables, name: str) -> DataFrame:
+    """Distinct countries, as ``name``, of each passenger's travel documents; dealt by passenger, as their readers are."""
+    documents = t["passenger_travel_doc"].select("PassengerID", F.col("Nationality").alias(name))
+    return by_rows(documents.repartition("PassengerID").distinct(), t["passenger_travel_doc"])
 
 
 def contacts(t: Tables) -> DataFrame:

@@ -90,6 +90,25 @@ class Tables(Mapping[str, DataFrame]):
         return cls(spark, frames.__getitem__, list(frames))
 
 
+SENT_ROWS = 1 << 20  # rows of a table that Spark may send to every task; more meet the other side by key
+
+_rows: dict[int, int] = {}
+
+
+def by_rows(side: DataFrame, table: DataFrame | int) -> DataFrame:
+    """One side of a join, which Spark may send to every task if ``table``, of which it is made, has few rows.
+
+    Spark itself goes by the size of files, where ids stored as differences take next to nothing: the 18
+    million payments of 11 MB of Parquet would be gathered in the driver. ``table``: counted rows or what to count.
+    """
+    if isinstance(table, DataFrame):
+        key = table.semanticHash()
+        if key not in _rows:
+            _rows[key] = table.count()
+        table = _rows[key]
+    return side if table <= SENT_ROWS else side.hint("merge")
+
+
 def as_of(tables: Tables):
     """The as-of date of the control table; the one value read to the driver."""
     return tables["download_date"].agg(F.max(F.to_date("DownloadDate"))).first()[0]
