@@ -372,8 +372,7 @@ def nationality_region(t: Tables) -> DataFrame:
 @operator("""SELECT CASE WHEN d.doc = 'OT' OR d.doc IS NULL THEN p.Nationality ELSE d.doc END AS Passport, COUNT(*) AS n FROM t_booking_passenger p
 LEFT JOIN (SELECT DISTINCT PassengerID, Nationality AS doc FROM t_passenger_travel_doc) d ON d.PassengerID = p.PassengerID GROUP BY 1""")
 def passport_country(t: Tables) -> DataFrame:
-    docs = t["passenger_travel_doc"].select("PassengerID", F.col("Nationality").alias("doc")).distinct()
-    rows = t["booking_passenger"].join(docs, "PassengerID", "left")
+    rows = t["booking_passenger"].join(px.travel_documents(t, "doc"), "PassengerID", "left")
     return _count(rows, labels.passport_country("doc", "Nationality").alias("Passport"))
 
 

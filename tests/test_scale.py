@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from checks import layout, operators, reports
 from farespan.operators import passengers as px
-from farespan.sources import load, sinks, standin
+from farespan.sources import load, sinks, standin, tables
+from farespan.sources.tables import Tables
 from tests.test_traps import rows
 
 SF = "/root/testdata/sf0.001"
@@ -150,3 +151,27 @@ def test_fee_lines_move_once_for_equal_ones_and_their_sum(spark):
         plan = physical(reports.report_queries()["report_ancillary_revenue"](spark, SF))
         dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "SegmentID" in line and "FeeNumber" in line]
         assert len(dealt) == 1
+
+
+# ---------------------------------------------------------------- what passes through the driver
+
+def people_tables(spark, tmp_path):
+    bookings = spark.createDataFrame([(1,), (2,), (3,), (None,)], "BookingID long")
+    passengers = spark.createDataFrame([(1, "MY"), (2, "TH"), (3, None), (None, "SG")], "PassengerID long, Nationality string")
+    documents = [(1, "OT"), (1, "OT"), (1, "CN"), (2, None), (4, "HK"), (None, "MO")]
+    documents = spark.createDataFrame(documents, "PassengerID long, Nationality string")
+    stored = {"booking": bookings, "payment": payments(spark), "booking_passenger": passengers, "passenger_travel_doc": documents}
+    for name, df in stored.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    return Tables.from_parquet(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("most, sent", [(3, False), (1 << 20, True)])
+@pytest.mark.parametrize("name, want", [
+    ("first_payment_method", {"Others": 2, "Credit Card": 1, "Cash": 1}), ("passport_country", {"MY": 1, "CN": 1, "TH": 1, None: 1, "SG": 1}),
+])
+def test_tables_of_many_rows_are_not_sent_by_the_size_of_their_files(spark, tmp_path, monkeypatch, most, sent, name, want):
+    monkeypatch.setattr(tables, "SENT_ROWS", most)
+    out = getattr(operators, name)(people_tables(spark, tmp_path))
+    assert ("BroadcastHashJoin" in physical(out)) == sent
+    assert {r[0]: r[1] for r in out.collect()} == want
