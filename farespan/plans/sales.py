@@ -16,7 +16,7 @@ from farespan.operators import money as m
 from farespan.operators import passengers as px
 from farespan.operators.channels import with_agent
 from farespan.sources.sinks import scoped, stage
-from farespan.sources.tables import Tables
+from farespan.sources.tables import Tables, by_rows
 
 
 @scoped
@@ -24,7 +24,7 @@ def daily_sales(t: Tables, now: datetime, window: Window | None = None) -> DataF
     """Seats and base fare in home currency by booking day, carrier, status and role."""
     window = window or windows.month_of_yesterday_to_date(now)
     fact = px.passenger_fact(t, px.bookings(t, window, None), px.live_legs(t))
-    role = t["agent_role"].select(F.col("AgentID").alias("CreatedAgentID"), "RoleCode")
+    role = by_rows(t["agent_role"].select(F.col("AgentID").alias("CreatedAgentID"), "RoleCode"), t["agent_role"])
     fact = fact.join(role, "CreatedAgentID", "left")
     fact = stage(fact.select("PassengerID", "SegmentID", "BookingDate", "CarrierCode", "Status", "RoleCode"), "management-passengers")
     charges = px.segment_sums(px.journey_charges(t, of=fact), {"Fare": m.bucket(m.fare_types())})

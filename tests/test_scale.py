@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import layout, operators, reports
+from farespan.operators import channels as ch
 from farespan.operators import passengers as px
 from farespan.sources import load, sinks, standin, tables
 from farespan.sources.tables import Tables
@@ -175,3 +176,19 @@ def test_tables_of_many_rows_are_not_sent_by_the_size_of_their_files(spark, tmp_
     out = getattr(operators, name)(people_tables(spark, tmp_path))
     assert ("BroadcastHashJoin" in physical(out)) == sent
     assert {r[0]: r[1] for r in out.collect()} == want
+
+
+@pytest.mark.parametrize("how, distinct, n", [("inner", False, 5), ("left", False, 7), ("left", True, 5)])
+def test_many_agents_meet_the_rows_by_a_shuffle(spark, tmp_path, monkeypatch, how, distinct, n):
+    roles = [(1, "A"), (1, "B"), (2, "A"), (2, "A"), (None, "A"), (4, None)]
+    spark.createDataFrame(roles, "AgentID long, RoleCode string").write.parquet(f"{tmp_path}/agent_role.parquet")
+    agents = [(1, "X", "KUL"), (2, "Y", "CGK"), (4, "Z", None), (5, "Z", None), (None, "X", "KUL")]
+    spark.createDataFrame(agents, "AgentID long, OrganizationCode string, LocationCode string").write.parquet(f"{tmp_path}/agent.parquet")
+    t = Tables.from_parquet(spark, str(tmp_path))
+    booked = spark.createDataFrame([(1,), (2,), (4,), (9,), (None,)], "CreatedAgentID long")
+    few = ch.with_agent(booked, t, how, distinct=distinct)
+    monkeypatch.setattr(tables, "SENT_ROWS", 3)
+    many = ch.with_agent(booked, t, how, distinct=distinct)
+    assert "BroadcastHashJoin" in physical(few) and "BroadcastHashJoin" not in physical(many)
+    assert sorted(map(str, many.collect())) == sorted(map(str, few.collect()))
+    assert many.count() == n + (distinct and 1)
