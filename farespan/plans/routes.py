@@ -80,10 +80,10 @@ ROUTE_XJ = RouteSpec(
 )
 
 
-def _segment_totals(t: Tables, of: DataFrame, single: dict, summed: dict, by_matrix: bool, fanout: str) -> DataFrame:
-    """Charge buckets of the stored segments."""
+def _segment_totals(t: Tables, of: DataFrame, single: dict, summed: dict, by_matrix: bool, fanout: str, few: bool = False) -> DataFrame:
+    """Charge buckets of the stored segments; ``few`` is as in :func:`px.around`."""
     charges = t["passenger_journey_charge"].select("PassengerID", "SegmentID", "ChargeNumber", "ChargeType", "ChargeCode", "ChargeAmount")
-    charges = px.around(charges, of, "PassengerID", "SegmentID")
+    charges = px.around(charges, of, "PassengerID", "SegmentID", few=few)
     amount = None
     if by_matrix:
         charges = m.signed_by_matrix(charges, t["charge_type_matrix"], "left")
@@ -380,7 +380,7 @@ def finance_by_flight(t: Tables, now: datetime, departs: Window | None = None) -
         "PassengerID", "SegmentID", "DepartureDate", "CarrierCode", "FlightNumber", "InventoryLegID",
         sector("DepartureStation", "ArrivalStation").alias("Route"),
     ), "finance-segments")
-    totals = _segment_totals(t, seg, {}, {"BaseFare": m.of_type(0, 8, 1, 7), "FuelSurcharge": m.fuel()}, True, "safe")
+    totals = _segment_totals(t, seg, {}, {"BaseFare": m.of_type(0, 8, 1, 7), "FuelSurcharge": m.fuel()}, True, "safe", few=True)
     rows = seg.join(totals, ["PassengerID", "SegmentID"], "left")
     rows = _booking_of(rows, t, ("BookingDate", "CurrencyCode"))
     flight = ["DepartureDate", "CarrierCode", "FlightNumber", "InventoryLegID", "Route", "CurrencyCode"]

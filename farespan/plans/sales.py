@@ -27,7 +27,7 @@ def daily_sales(t: Tables, now: datetime, window: Window | None = None) -> DataF
     role = by_rows(t["agent_role"].select(F.col("AgentID").alias("CreatedAgentID"), "RoleCode"), t["agent_role"])
     fact = fact.join(role, "CreatedAgentID", "left")
     fact = stage(fact.select("PassengerID", "SegmentID", "BookingDate", "CarrierCode", "Status", "RoleCode"), "management-passengers")
-    charges = px.segment_sums(px.journey_charges(t, of=fact), {"Fare": m.bucket(m.fare_types())})
+    charges = px.segment_sums(px.journey_charges(t, of=fact, few=True), {"Fare": m.bucket(m.fare_types())})
     per_segment = fact.join(charges, ["PassengerID", "SegmentID"]).withColumns(
         {"Home": home_currency("CarrierCode"), "BookingDate": day("BookingDate")}
     )
@@ -70,7 +70,7 @@ def cash_flow(t: Tables, now: datetime, window: Window | None = None, bounds: st
     codes = t["ancillary_fee_codes"]
 
     charges = px.segment_sums(
-        m.with_ancillary(px.journey_charges(t, of=fact), codes),
+        m.with_ancillary(px.journey_charges(t, of=fact, few=True), codes),
         {
             "FareRevenue": m.bucket(m.fare_types(), m.of_code(*fixed.SURCHARGE_CODES)),
             "AncillaryRevenue": m.bucket(m.ancillary()),
@@ -81,6 +81,7 @@ def cash_flow(t: Tables, now: datetime, window: Window | None = None, bounds: st
         fact.join(charges, ["PassengerID", "SegmentID"]), t, keys,
         {n: F.sum(n) for n in ("FareRevenue", "AncillaryRevenue", "Tax")}, "local", "Home",
     )
+    journey = stage(journey, "cash-journeys")  # what it moved is gone before the fees are
     fees = m.with_ancillary(m.signed_by_matrix(px.fee_lines(t, fact), t["charge_type_matrix"]), codes, "FeeCode")
     measures = {
         "FareRevenue": F.sum(F.lit(0)),
@@ -114,7 +115,7 @@ def currency_sales(t: Tables, now: datetime, window: Window | None = None, depar
     names = ["FareRevenue", "FuelAmount", "FeeAmount", "JourneyChargeOthers"]
     codes = t["ancillary_fee_codes"]
     charges = px.segment_sums(
-        m.with_ancillary(px.journey_charges(t, of=fact), codes),
+        m.with_ancillary(px.journey_charges(t, of=fact, few=True), codes),
         {
             "FareRevenue": m.bucket(m.fare_types(), m.of_code("KLIA2")),
             "FuelAmount": m.bucket(m.fuel()),
@@ -127,6 +128,7 @@ def currency_sales(t: Tables, now: datetime, window: Window | None = None, depar
                         mode="myr", suffix="_c").groupBy(*keys).agg(
         *[m.money(F.sum(f"{n}_c")).alias(n) for n in names], F.countDistinct("SegmentID").alias("SeatsSold")
     )
+    journey = stage(journey, "currency-journeys")  # what it moved is gone before the fees are
     fees = m.with_ancillary(m.signed_by_matrix(px.fee_lines(t, fact), t["charge_type_matrix"]), codes, "FeeCode")
     measures = {n: F.sum(F.lit(0)) for n in names} | {"FeeAmount": m.bucket(F.col("IsAncillary"))}
     extra = _converted_sums(px.passenger_fees(fact, fees), t, [*keys, "Loose"], measures, "myr").drop("Loose")
@@ -200,21 +202,21 @@ def ancillary_revenue(t: Tables, now: datetime, window: Window | None = None) ->
     segment = ["PassengerID", "SegmentID", "InventoryLegID", "International", *flight]
     line = ["FeeNumber", "FeeCode", "CurrencyCode", "ChargeType", "ChargeAmount", "CreatedDate"]
     fees = px.fee_lines(t, fact)
-    charges = px.within(
-        t["passenger_journey_charge"].select(
-            "PassengerID", "SegmentID", "ChargeNumber", "ChargeType", "ChargeCode", "ChargeAmount", "CurrencyCode", "CreatedDate"
-        ),
-        fact, "PassengerID", "SegmentID",
+    charges = t["passenger_journey_charge"].select(
+        "PassengerID", "SegmentID", "ChargeNumber", "ChargeType", "ChargeCode", "ChargeAmount", "CurrencyCode", "CreatedDate"
     )
+    # Other charges are left out where they are read, before the rest is moved.
     charges = m.with_ancillary(charges, t["ancillary_fee_codes"]).where(m.ancillary())
-    charges = charges.select(
+    charges = px.within(charges, fact, "PassengerID", "SegmentID").select(
         "PassengerID", "SegmentID", F.col("ChargeNumber").cast("long").alias("FeeNumber"),
         F.when(F.col("ChargeType") == 8, "ConnectingFee").otherwise(F.col("ChargeCode")).alias("FeeCode"),
         "CurrencyCode", "ChargeType", "ChargeAmount", "CreatedDate",
     )
     columns = [*segment, "JourneyNumber", "SegmentNumber", *line]
+    # What fees moved is gone before the wide lines are.
+    of_fees = stage(px.passenger_fees(fact, fees).select(*columns), "ancillary-fees")
     lines = (
-        px.passenger_fees(fact, fees).select(*columns)
+        of_fees
         .union(fact.join(charges, ["PassengerID", "SegmentID"]).select(*columns))
         # Equal lines and the lines of an item lie together, so both are found in one move.
         .repartition("PassengerID", "SegmentID", "FeeNumber", "FeeCode")

@@ -192,3 +192,44 @@ def test_many_agents_meet_the_rows_by_a_shuffle(spark, tmp_path, monkeypatch, ho
     assert "BroadcastHashJoin" in physical(few) and "BroadcastHashJoin" not in physical(many)
     assert sorted(map(str, many.collect())) == sorted(map(str, few.collect()))
     assert many.count() == n + (distinct and 1)
+
+
+# ---------------------------------------------------------------- what lies on disk at a time
+
+def test_what_a_staged_frame_moved_is_deleted_when_it_is_written(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f for f in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f and f.endswith(".data")}
+
+    before = shuffled()
+    with sinks.staging_scope():
+        held = sinks.stage(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count(), "moved")
+        assert not shuffled() - before
+        assert sorted(r["count"] for r in held.collect()) == [142] + [143] * 6
+
+
+@needs_data
+@pytest.mark.parametrize("name", ["daily_management_sales", "cash_flow", "currency_sales", "journey_type", "finance_by_flight"])
+def test_reports_of_few_sums_add_charges_up_where_they_are_read(spark, monkeypatch, name):
+    seen, around = [], px.around
+    monkeypatch.setattr(px, "around", lambda *a, few=False: seen.append(few) or around(*a, few=few))
+    with sinks.staging_scope():
+        reports.report_queries()[f"report_{name}"](spark, SF)
+    assert seen == [True]
+
+
+@needs_data
+def test_other_charges_are_left_out_before_ancillary_ones_move(spark, monkeypatch):
+    seen, within = [], px.within
+    monkeypatch.setattr(px, "within", lambda rows, *a: seen.append(rows.columns) or within(rows, *a))
+    with sinks.staging_scope():
+        reports.report_queries()["report_ancillary_revenue"](spark, SF)
+    assert ["IsAncillary" in c for c in seen if "ChargeNumber" in c] == [True]
+
+
+@needs_data
+@pytest.mark.parametrize("name, step", [("ancillary_revenue", "ancillary-fees"), ("booking_date_analysis", "analysis-extras"), ("cash_flow", "cash-journeys")])
+def test_reports_are_cut_between_charges_and_fees(spark, name, step):
+    with sinks.staging_scope():
+        assert any(f"/{step}-" in f for f in reports.report_queries()[f"report_{name}"](spark, SF).inputFiles())
